@@ -73,5 +73,29 @@ def stalled_deals(mart: DataFrame, *, threshold: float = STALL_THRESHOLD,
             .withColumn("stalled", flag))
 
 
+def attach_stall(deals: DataFrame, mart: DataFrame, *, threshold: float = STALL_THRESHOLD,
+                 quantile: float = STALL_QUANTILE, keys=SEGMENT_KEYS) -> DataFrame:
+    """Add norm, ratio and flag (fallback semantics) to any set of deals in one
+    pass: Engaging rows get their segment norm (overall quantile when the
+    segment has none), other stages keep NULL norm and ratio and a false flag.
+    This replaces a join of the deals with the stalled-deal table on id."""
+    norms = checked_broadcast(segment_norms(mart, keys, quantile))
+    n = norms.select(*[F.col(k).alias(f"_n_{k}") for k in keys], F.col(NORM).alias("_norm"))
+    cond = None
+    for k in keys:
+        c = deals[k].eqNullSafe(n[f"_n_{k}"])
+        cond = c if cond is None else cond & c
+    engaging = F.col("deal_stage") == STAGE_ENGAGING
+    norm = F.when(engaging, F.coalesce(F.col("_norm"), overall_norm(mart, quantile)))
+    ratio = safe_ratio(F.col("days_in_stage"), F.col(NORM))
+    return (deals.join(n, cond, "left")
+            .drop(*[f"_n_{k}" for k in keys])
+            .withColumn(NORM, norm)
+            .drop("_norm")
+            .withColumn("stall_ratio", F.when(engaging, ratio))
+            .withColumn("stalled", F.coalesce(F.col("stall_ratio") >= F.lit(threshold),
+                                              F.lit(False))))
+
+
 def stalled_count(stalled: DataFrame) -> DataFrame:
     return stalled.agg(F.count_if(F.col("stalled")).alias("flagged"))

@@ -12,8 +12,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import attrition as attrition_ops
+from ..operators import cycle, funnel, report, scoring, stall, winrate
 from ..operators import mart as mart_ops
-from ..operators import stall
 from ..sources.snapshots import snapshot_sources
 from . import oracle as O
 
@@ -146,3 +147,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stalled Engaging deals, worst first."""
     return (stall.stalled_deals(load_mart(spark, sf_dir))
             .orderBy(F.col("stall_ratio").desc_nulls_last(), F.col("opportunity_id")))
+
+
+# Further query groups register themselves on import.
+from . import analytics_queries  # noqa: E402,F401
