@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import direction
 from ..schemas import TOP_K_CONTRIBUTIONS
-from .ranking import top_k_array
+from .ranking import top_k_array, top_k_of_array
 
 
 def linear_terms(weights: Mapping[str, float], means: Mapping[str, float],
@@ -43,7 +43,19 @@ def top_contributions(df: DataFrame, terms: Sequence[tuple[str, Column]],
                       k: int = TOP_K_CONTRIBUTIONS, id_col: str = "opportunity_id") -> DataFrame:
     """k strongest absolute contributions per deal: opportunity_id, feature,
     feature_value (always NULL), shap_value, direction, rank (1..k)."""
-    top = df.select(id_col, F.posexplode(top_k_array(terms, k)).alias("_pos", "_t"))
+    return _explode_top(df.select(id_col, top_k_array(terms, k).alias("_top")), id_col)
+
+
+def top_contributions_array(df: DataFrame, names: Sequence[str], array_col: str,
+                            k: int = TOP_K_CONTRIBUTIONS, id_col: str = "opportunity_id"
+                            ) -> DataFrame:
+    """As ``top_contributions`` for an array<double> column of contributions."""
+    top = df.select(id_col, top_k_of_array(names, F.col(array_col), k).alias("_top"))
+    return _explode_top(top, id_col)
+
+
+def _explode_top(top: DataFrame, id_col: str) -> DataFrame:
+    top = top.select(id_col, F.posexplode("_top").alias("_pos", "_t"))
     return top.select(
         id_col,
         F.col("_t.name").alias("feature"),
@@ -56,3 +68,38 @@ def top_contributions(df: DataFrame, terms: Sequence[tuple[str, Column]],
 def array_terms(names: Sequence[str], array_col: str) -> list[tuple[str, Column]]:
     """Terms from an array<double> column of contributions (one per name)."""
     return [(n, F.col(array_col)[i]) for i, n in enumerate(names)]
+
+
+def _vector_means(prepared: DataFrame, features_col: str = "features") -> list[float]:
+    """Background means of the feature vector (one distributed aggregation)."""
+    from pyspark.ml.stat import Summarizer
+    row = prepared.select(Summarizer.mean(F.col(features_col)).alias("m")).first()
+    return row["m"].toArray().tolist()
+
+
+def explain(model, rows: DataFrame, background: DataFrame | None = None,
+            k: int = TOP_K_CONTRIBUTIONS, id_col: str = "opportunity_id") -> DataFrame:
+    """Top-k contributions per row for a fitted model (``FittedModel``).
+
+    Trees: path-dependent Tree SHAP on the log-odds scale.  Logistic:
+    coef_j * (x_j - mean_j) with means over ``background`` (the training rows).
+    Empty input gives an empty frame with the same six columns.
+    """
+    from . import treeshap
+    names = model.feature_names()
+    prepared = model.pipeline.transform(rows)
+    est = model.estimator_model
+    if hasattr(est, "treeWeights"):
+        contrib = treeshap.tree_contributions(prepared, model, id_col=id_col)
+        return top_contributions_array(contrib, names, "contributions", k, id_col)
+    if background is None:
+        raise ValueError("a linear model needs background rows for the feature means")
+    means = _vector_means(model.pipeline.transform(background))
+    coefs = est.coefficients.toArray().tolist()
+    from pyspark.ml.functions import vector_to_array
+    w = F.array(*[F.lit(float(v)) for v in coefs])
+    mu = F.array(*[F.lit(float(v)) for v in means])
+    contrib = prepared.select(
+        id_col, F.zip_with(F.zip_with(vector_to_array(F.col("features")), mu, lambda x, m: x - m),
+                           w, lambda d, c: d * c).alias("contributions"))
+    return top_contributions_array(contrib, names, "contributions", k, id_col)

@@ -122,7 +122,7 @@ def fit_features(train: DataFrame, categorical: Sequence[str] = CATEGORICAL_FEAT
                             stringOrderType="alphabetAsc", handleInvalid="keep").fit(prepared)
     encoder = OneHotEncoder(inputCols=[f"idx__{c}" for c in categorical],
                             outputCols=[f"ohe__{c}" for c in categorical],
-                            dropLast=True, handleInvalid="keep").fit(indexer.transform(prepared))
+                            dropLast=True).fit(indexer.transform(prepared))
     assembler = VectorAssembler(inputCols=[f"ohe__{c}" for c in categorical]
                                 + [f"num__{c}" for c in numeric],
                                 outputCol=FEATURES_COL, handleInvalid="keep")

@@ -79,3 +79,15 @@ def top_k_array(values: Sequence[tuple[str, Column]], k: int) -> Column:
     items = F.array(*[F.struct((-F.abs(c)).alias("neg_abs"), F.lit(n).alias("name"),
                                c.alias("value")) for n, c in values])
     return F.slice(F.sort_array(items), 1, k)
+
+
+def top_k_of_array(names: Sequence[str], values: Column, k: int) -> Column:
+    """Top-k of an array<double> column (position i named ``names[i]``) by
+    absolute size, name breaking ties; compact higher-order expressions
+    instead of one expression per element."""
+    labelled = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("name"),
+                            values.alias("value"))
+    items = F.transform(labelled, lambda s: F.struct((-F.abs(s["value"])).alias("neg_abs"),
+                                                      s["name"].alias("name"),
+                                                      s["value"].alias("value")))
+    return F.slice(F.sort_array(items), 1, k)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import checks, explain, features, metrics, scoring, splits
+from ..operators import checks, explain, features, metrics, models, scoring, splits
 from ..operators import mart as mart_ops
 from ..schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from ..sources.readers import read_table
@@ -299,3 +299,64 @@ def q_checks(spark, d):
     mart = load_mart(spark, d)
     scores = scoring.score_open_standin(mart)
     return checks.mart_checks(mart, scores, _expected(spark, d))
+
+
+# ---------------------------------------------------------------- fitted models (rows-only)
+def _train_split(spark, d):
+    from ..session import materialize
+    mart = materialize(load_mart(spark, d))
+    closed = materialize(models.model_frame(mart))
+    split = materialize(splits.with_holdout(closed))
+    return mart, split
+
+
+@register("feature_names")
+def q_feature_names(spark, d):
+    from ..sources.sinks import feature_names_frame
+    _, split = _train_split(spark, d)
+    feats = features.fit_features(split.filter(F.col("split") == "train"))
+    return feature_names_frame(spark, feats.feature_names())
+
+
+@register("cv_summary")
+def q_cv_summary(spark, d):
+    from ..session import materialize
+    closed = materialize(models.model_frame(load_mart(spark, d)))
+    return models.cv_summary(models.cross_validate(closed))
+
+
+@register("holdout_predictions")
+def q_holdout_predictions(spark, d):
+    _, split = _train_split(spark, d)
+    model = models.fit(split.filter(F.col("split") == "train"), models.LOGISTIC)
+    test = split.filter(F.col("split") == "test")
+    return model.score(test).select(
+        "opportunity_id", "deal_stage", "sales_agent", "product", "account", "close_date",
+        F.col("target").alias("actual_won"), "propensity_to_close")
+
+
+@register("fit_and_score")
+def q_fit_and_score(spark, d):
+    from .training import score_with_model
+    mart, split = _train_split(spark, d)
+    model = models.fit(split.filter(F.col("split") == "train"), models.LOGISTIC)
+    return score_with_model(model, mart)
+
+
+@register("contributions_tree")
+def q_contributions_tree(spark, d):
+    from ..session import materialize
+    from .training import explain_top, score_with_model
+    mart, split = _train_split(spark, d)
+    model = models.fit(split.filter(F.col("split") == "train"), models.BOOSTED)
+    scores = materialize(score_with_model(model, mart))
+    return explain_top(model, scores, mart, 100, 3)
+
+
+@register("model_metrics")
+def q_model_metrics(spark, d):
+    from ..session import materialize
+    from ..sources.sinks import metrics_frame
+    mart = materialize(load_mart(spark, d))
+    _, metrics, _ = models.train_selected(mart)
+    return metrics_frame(spark, metrics)

@@ -7,7 +7,9 @@ local do we create a scratch directory ourselves (tests, local runs).
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -71,3 +73,26 @@ def materialize(df: DataFrame, reliable: bool = True) -> DataFrame:
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``dealscope`` importable in Python workers (Pandas UDFs) by adding a
+    zip of the package with ``addPyFile``; Spark's file server distributes it,
+    as ``--py-files`` would.  Done once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="dealscope-pyfiles-"), "dealscope.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
