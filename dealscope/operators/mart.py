@@ -5,19 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import recode, typed
 from ..schemas import (CLOSED_STAGES, MART_COLUMNS, PRODUCT_RECODES, SECTOR_RECODES,
                        STAGE_ENGAGING, STAGE_LOST, STAGE_WON)
-from .joins import validated_left_join
-
-
-def latest_close(pipeline: DataFrame) -> Column:
-    """Data-driven snapshot: MAX(close_date) of the raw fact, as an
-    uncorrelated scalar subquery (evaluated once per query)."""
-    return pipeline.select(F.max(typed(pipeline, "close_date", "date"))).scalar()
+from .joins import checked_broadcast, validated_left_join
 
 
 def build_mart(pipeline: DataFrame, teams: DataFrame, products: DataFrame,
@@ -31,9 +26,10 @@ def build_mart(pipeline: DataFrame, teams: DataFrame, products: DataFrame,
     duplicated dimension key instead of fanning rows out.
 
     The three dimension joins are left equi-joins with the fact as the
-    preserved side; the planner broadcasts dimensions whose scans are small and
-    otherwise shuffles (AQE re-plans from runtime sizes and splits skewed fact
-    partitions).
+    preserved side.  A dimension is broadcast only after a count proves it
+    small; a large one is a shuffle join (AQE splits skewed fact partitions).
+    With a data-driven snapshot the typed fact is cached, because the snapshot
+    subquery and the main plan both read it.
     """
     product_recodes = PRODUCT_RECODES if product_recodes is None else product_recodes
     sector_recodes = SECTOR_RECODES if sector_recodes is None else sector_recodes
@@ -58,10 +54,15 @@ def build_mart(pipeline: DataFrame, teams: DataFrame, products: DataFrame,
         typed(accounts, "employees", "int").alias("employees"),
         "office_location", "subsidiary_of")
 
+    if snapshot is None:
+        fact = fact.persist(StorageLevel.MEMORY_AND_DISK)
     join = validated_left_join if validate else (lambda l, r, on: l.join(r, on, "left"))
-    joined = join(join(join(fact, team, "sales_agent"), prod, "product"), acct, "account")
+    joined = join(join(join(fact, checked_broadcast(team), "sales_agent"),
+                       checked_broadcast(prod), "product"),
+                  checked_broadcast(acct), "account")
 
-    snap = F.lit(snapshot).cast("date") if snapshot is not None else latest_close(pipeline)
+    snap = (F.lit(snapshot).cast("date") if snapshot is not None
+            else fact.select(F.max("close_date")).scalar())
     stage = F.col("deal_stage")
     closed = stage.isin(*CLOSED_STAGES)
     return joined.select(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,9 +37,14 @@ def register(name: str, sql: str | None = None):
 
 
 def load_mart(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    """The mart as a cached table: analyses of the same tables share one
+    computation (identical plans map to one cache entry), as the derived
+    tables of a warehouse would.  Lost cached blocks are recomputed from
+    lineage."""
     src = snapshot_sources(spark, sf_dir)
-    return mart_ops.build_mart(src["sales_pipeline"], src["sales_teams"], src["products"],
+    mart = mart_ops.build_mart(src["sales_pipeline"], src["sales_teams"], src["products"],
                                src["accounts"], **kw)
+    return mart.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 # ---------------------------------------------------------------- mart
