@@ -12,14 +12,19 @@ BROADCAST_MAX_ROWS = 200_000
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Cache ``df`` and broadcast it only if it is proven small.
+    """Broadcast ``df`` only if a count proves it has at most ``max_rows`` rows.
 
-    The count reads at most ``max_rows + 1`` rows through a limit, so the
-    check itself stays cheap when the side turns out to be large.
+    The side is cached while counted (a small side is often an aggregate that
+    should not be computed twice); the count reads at most ``max_rows + 1``
+    rows through a limit.  A large side is uncached again and returned as is,
+    so the join stays a shuffle join that AQE may still re-plan.
     """
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = cached.limit(max_rows + 1).count()
-    return F.broadcast(cached) if n <= max_rows else cached
+    if n <= max_rows:
+        return F.broadcast(cached)
+    cached.unpersist(blocking=False)
+    return df
 
 
 class DuplicateKeyError(ValueError):

@@ -36,15 +36,23 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_MARTS: dict[tuple, DataFrame] = {}
+
+
 def load_mart(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     """The mart as a cached table: analyses of the same tables share one
-    computation (identical plans map to one cache entry), as the derived
-    tables of a warehouse would.  Lost cached blocks are recomputed from
-    lineage."""
-    src = snapshot_sources(spark, sf_dir)
-    mart = mart_ops.build_mart(src["sales_pipeline"], src["sales_teams"], src["products"],
-                               src["accounts"], **kw)
-    return mart.persist(StorageLevel.MEMORY_AND_DISK)
+    computation, as the derived tables of a warehouse would (one entry per
+    application, directory and mart parameters, like a temp view).  Lost
+    cached blocks are recomputed from lineage."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"),
+           tuple(sorted((k, repr(v)) for k, v in kw.items())))
+    mart = _MARTS.get(key)
+    if mart is None or mart.sparkSession is not spark:
+        src = snapshot_sources(spark, sf_dir)
+        mart = mart_ops.build_mart(src["sales_pipeline"], src["sales_teams"], src["products"],
+                                   src["accounts"], **kw).persist(StorageLevel.MEMORY_AND_DISK)
+        _MARTS[key] = mart
+    return mart
 
 
 # ---------------------------------------------------------------- mart

@@ -35,6 +35,17 @@ def read_sources(spark: SparkSession, paths: dict[str, str], fmt: str = "csv") -
     return {name: read_source(spark, name, path, fmt) for name, path in paths.items()}
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one of the driver's parquet tables."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one of the driver's parquet tables.  The relation (file listing and
+    footer schema) is resolved once per application and path, as a catalog
+    table would be; DataFrames are immutable, so sharing them is safe."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
