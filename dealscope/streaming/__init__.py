@@ -1 +1,7 @@
+"""Streaming: intentionally empty.
 
+The reference processes bounded snapshot files in batch; it has no streams,
+event time, watermarks or state, so there is no streaming operator to
+re-express.  A periodic refresh is the batch pipeline
+(``dealscope.plans.warehouse.build_warehouse``) run on a schedule.
+"""
