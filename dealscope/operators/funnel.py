@@ -32,7 +32,8 @@ def funnel_conversion(mart: DataFrame) -> DataFrame:
         for order, label, den, num in FUNNEL_STEPS])
     return (stage_counts(mart)
             .select(F.inline(rows))
-            .withColumn("conversion_rate", safe_ratio(F.col("numerator"), F.col("denominator"))))
+            .withColumn("conversion_rate", safe_ratio(F.col("numerator"), F.col("denominator")))
+            .orderBy("stage_order"))
 
 
 def funnel_counts(mart: DataFrame) -> DataFrame:
@@ -41,4 +42,4 @@ def funnel_counts(mart: DataFrame) -> DataFrame:
     rows = F.array(*[F.struct(F.lit(i + 1).alias("step"), F.lit(label).alias("stage"),
                               F.col(k).alias("deals"))
                      for i, (label, k) in enumerate(zip(FUNNEL_COUNT_LABELS, keys))])
-    return stage_counts(mart).select(F.inline(rows))
+    return stage_counts(mart).select(F.inline(rows)).orderBy("step")

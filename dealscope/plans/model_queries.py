@@ -78,10 +78,23 @@ contrib AS (
         for c in _NUM) + "\n)"
 
 
+_PREPARED: dict[tuple, tuple] = {}
+
+
 def _prepared(spark, d):
-    mart = mart_ops.engagement_features(load_mart(spark, d))
-    closed = splits.with_holdout(splits.closed_with_target(mart))
-    return mart, closed
+    """Mart with engagement features and the closed deals with their holdout
+    split, cached once per application (a derived table that ten queries
+    read)."""
+    from pyspark import StorageLevel
+    key = (spark.sparkContext.applicationId, d.rstrip("/"))
+    hit = _PREPARED.get(key)
+    if hit is None or hit[0].sparkSession is not spark:
+        mart = mart_ops.engagement_features(load_mart(spark, d))
+        closed = (splits.with_holdout(splits.closed_with_target(mart))
+                  .persist(StorageLevel.MEMORY_AND_DISK))
+        hit = (mart, closed)
+        _PREPARED[key] = hit
+    return hit
 
 
 def _scored_test(spark, d):

@@ -64,3 +64,34 @@ def test_top_risk_is_take_ordered(spark):
     scores = scoring.score_open_standin(load_mart(spark, SF_SMALL))
     assert "TakeOrderedAndProject" in plan_text(scoring.top_risk(scores, 100))
     assert scores.filter(F.col("stalled")).count() > 0
+
+
+def test_aggregations_combine_map_side(spark):
+    from dealscope.operators import cycle, winrate
+    mart = load_mart(spark, SF_SMALL)
+    assert "partial_count" in plan_text(winrate.win_rate_by_rep(mart))
+    assert "partial_percentile" in plan_text(stall.segment_norms(mart))
+    assert "partial_min" in plan_text(__import__(
+        "dealscope.sources.snapshots", fromlist=["line_days"]).line_days(spark, SF_SMALL))
+    assert "partial_percentile_approx" in plan_text(cycle.cycle_summary(mart, approx_accuracy=10000))
+
+
+def test_hot_key_results_stay_whole(spark):
+    """One account/segment holding a third of the rows: results are complete."""
+    from dealscope.operators import winrate
+    from .fixtures import mart_rows
+    rows = [dict(opportunity_id=f"h{i}", sales_agent="Hot", product="P", regional_office="R",
+                 deal_stage="Won" if i % 3 else "Lost", is_closed=1, won=1 if i % 3 else 0,
+                 cycle_days=i % 50, close_value=1.0) for i in range(3000)]
+    rows += [dict(opportunity_id=f"c{i}", sales_agent=f"Rep{i % 40}", product=f"P{i % 7}",
+                  regional_office="R", deal_stage="Won", is_closed=1, won=1, cycle_days=i % 90,
+                  close_value=2.0) for i in range(6000)]
+    m = mart_rows(spark, rows)
+    out = {r.sales_agent: r for r in winrate.win_rate_by_rep(m).collect()}
+    assert out["Hot"].closed_deals == 3000 and out["Hot"].won_deals == 2000
+    assert sum(r.closed_deals for r in out.values()) == 9000
+    norms = {r.product: r.historical_stage_norm_days for r in stall.segment_norms(m).collect()}
+    vals = sorted(i % 50 for i in range(3000))
+    pos = (len(vals) - 1) * 0.75
+    exp = vals[int(pos)] + (vals[int(pos) + 1] - vals[int(pos)]) * (pos - int(pos))
+    assert norms["P"] == exp
