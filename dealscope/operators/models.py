@@ -86,11 +86,12 @@ def _auc_value(df: DataFrame, label: str = "target", score: str = "propensity_to
 
 
 def cross_validate(closed: DataFrame, names=MODEL_ORDER, k: int = CV_FOLDS,
-                   label: str = "target", parallelism: int = 4) -> DataFrame:
+                   label: str = "target", parallelism: int | None = None) -> DataFrame:
     """AUC per (model, fold) with stratified folds; returns a small DataFrame.
 
     The k x models fits are independent Spark jobs and are submitted from
-    ``parallelism`` threads (as ``CrossValidator(parallelism=...)`` does)."""
+    ``parallelism`` threads (as ``CrossValidator(parallelism=...)`` does); by
+    default all fits run concurrently (at most 16)."""
     spark = closed.sparkSession
     folded = materialize(splits.with_folds(closed, label=label, k=k))
     sizes = {r["fold"]: r["n"] for r in folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
@@ -105,7 +106,8 @@ def cross_validate(closed: DataFrame, names=MODEL_ORDER, k: int = CV_FOLDS,
         return (name, i, _auc_value(m.score(test), label))
 
     tasks = [(name, i) for name in names for i in range(k)]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+    workers = parallelism if parallelism else min(len(tasks), 16)
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
         rows = list(pool.map(one, tasks))
     return spark.createDataFrame(rows, "model string, fold int, auc double")
 
