@@ -154,16 +154,19 @@ def train_selected(mart: DataFrame, *, cutoff: dt.date | str | None = None,
     split = materialize(splits.with_holdout(closed, label=label))
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
-    model = fit(train, selected, label)
+    temporal = splits.with_temporal(closed, cutoff)
+    t_train = temporal.filter(F.col("split") == "train")
+    t_test = temporal.filter(F.col("split") == "test")
+    # The holdout fit and the temporal refit are independent jobs.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        f_main = pool.submit(fit, train, selected, label)
+        f_temp = pool.submit(fit, t_train, selected, label)
+        model, t_model = f_main.result(), f_temp.result()
     scored = model.score(test)
     predictions = scored.select(
         "opportunity_id", "deal_stage", "sales_agent", "product", "account", "close_date",
         F.col(label).alias("actual_won"), "propensity_to_close")
 
-    temporal = splits.with_temporal(closed, cutoff)
-    t_train = temporal.filter(F.col("split") == "train")
-    t_test = temporal.filter(F.col("split") == "test")
-    t_model = fit(t_train, selected, label)
     counts = closed.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("wins")).first()
     metrics = {
         "records_total": mart.count(),
