@@ -2,8 +2,9 @@
 
 Fit (three aggregation jobs over the training rows, results are constants):
 * most-frequent level per categorical (ties -> smallest), ``mode(c, true)``;
-* exact median per numeric, ``percentile(c, 0.5)`` (ML ``Imputer`` is
-  approximate);
+* exact median per numeric (ML ``Imputer`` is approximate): one
+  ``percentile`` pass for low-cardinality columns, a distributed exact
+  quantile for wide ones;
 * mean and *population* std of the imputed numerics (ML ``StandardScaler``
   uses the sample std); a zero std scales by 1.
 
@@ -27,6 +28,10 @@ from pyspark.sql import functions as F
 from ..schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
 FEATURES_COL = "features"
+# Columns with at most this many distinct values (HLL estimate) take the
+# one-pass exact ``percentile`` (its value -> count map stays bounded); wider
+# columns use the distributed exact quantile.
+PERCENTILE_MAX_DISTINCT = 100_000
 
 
 def _sql_str(v) -> str:
@@ -44,8 +49,34 @@ def fit_modes(train: DataFrame, cols: Sequence[str] = CATEGORICAL_FEATURES) -> D
     return train.agg(*[F.mode(c, True).alias(c) for c in cols])
 
 
+def medians(train: DataFrame, cols: Sequence[str] = NUMERIC_FEATURES,
+            max_distinct: int = PERCENTILE_MAX_DISTINCT) -> dict:
+    """Exact median per column.  Low-cardinality columns share one
+    ``percentile`` pass; high-cardinality ones (e.g. revenue at scale) use
+    ``ranking.exact_quantile`` so no task holds every distinct value."""
+    from .ranking import exact_quantile
+    cols = list(cols)
+    if not cols:
+        return {}
+    widths = train.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    narrow = [c for c in cols if widths[c] <= max_distinct]
+    out = {}
+    if narrow:
+        row = train.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c)
+                          for c in narrow]).first()
+        out.update({c: row[c] for c in narrow})
+    for c in cols:
+        if c not in out:
+            out[c] = exact_quantile(train, c, 0.5)
+    return {c: out[c] for c in cols}
+
+
 def fit_medians(train: DataFrame, cols: Sequence[str] = NUMERIC_FEATURES) -> DataFrame:
-    return train.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c) for c in cols])
+    """One-row DataFrame of exact medians (see ``medians``)."""
+    values = medians(train, cols)
+    spark = train.sparkSession
+    return spark.createDataFrame([tuple(values[c] for c in cols)],
+                                 ", ".join(f"`{c}` double" for c in cols))
 
 
 def impute_exprs(modes: dict, medians: dict) -> list:
@@ -105,17 +136,15 @@ def preprocess_sql(modes: dict, medians: dict, means: dict, stds: dict) -> str:
 
 def fit_features(train: DataFrame, categorical: Sequence[str] = CATEGORICAL_FEATURES,
                  numeric: Sequence[str] = NUMERIC_FEATURES) -> FittedFeatures:
-    first = train.agg(*[F.mode(c, True).alias(f"m__{c}") for c in categorical],
-                      *[F.percentile(F.col(c).cast("double"), 0.5).alias(f"q__{c}")
-                        for c in numeric]).first()
+    first = train.agg(*[F.mode(c, True).alias(f"m__{c}") for c in categorical]).first()
     modes = {c: first[f"m__{c}"] for c in categorical}
-    medians = {c: first[f"q__{c}"] for c in numeric}
-    imputed = train.select(*impute_exprs({}, medians))
+    meds = medians(train, numeric)
+    imputed = train.select(*impute_exprs({}, meds))
     sc = fit_scaling(imputed, numeric).first()
     means = {c: sc[f"{c}__mean"] for c in numeric}
     stds = {c: sc[f"{c}__std"] for c in numeric}
 
-    sql = SQLTransformer(statement=preprocess_sql(modes, medians, means, stds))
+    sql = SQLTransformer(statement=preprocess_sql(modes, meds, means, stds))
     prepared = sql.transform(train)
     indexer = StringIndexer(inputCols=[f"imp__{c}" for c in categorical],
                             outputCols=[f"idx__{c}" for c in categorical],
@@ -127,4 +156,4 @@ def fit_features(train: DataFrame, categorical: Sequence[str] = CATEGORICAL_FEAT
                                 + [f"num__{c}" for c in numeric],
                                 outputCol=FEATURES_COL, handleInvalid="keep")
     model = PipelineModel(stages=[sql, indexer, encoder, assembler])
-    return FittedFeatures(modes, medians, means, stds, categorical, numeric, model)
+    return FittedFeatures(modes, meds, means, stds, categorical, numeric, model)

@@ -91,3 +91,37 @@ def top_k_of_array(names: Sequence[str], values: Column, k: int) -> Column:
                                                       s["name"].alias("name"),
                                                       s["value"].alias("value")))
     return F.slice(F.sort_array(items), 1, k)
+
+
+def exact_quantile(df: DataFrame, col: str, q: float, ranges: int = 512) -> float | None:
+    """Exact interpolated quantile (as ``percentile``) of a high-cardinality
+    column without holding all distinct values in one task.
+
+    Rows are reduced to (value, count) by a distributed group-by, running counts
+    come from ``running_sums``, and only the (at most two) values whose ranks
+    bracket position (n - 1) * q reach the driver.
+    """
+    vals = (df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+            .groupBy("_v").agg(F.count(F.lit(1)).cast("double").alias("_c")))
+    n = vals.agg(F.sum("_c")).first()[0]
+    if not n:
+        return None
+    pos = (n - 1) * q
+    k0, k1 = int(pos), int(pos) if pos == int(pos) else int(pos) + 1
+    cum = running_sums(vals, "_v", ["_c"], ranges=ranges)
+    start = F.col("cum__c") - F.col("_c")
+
+    def holds(k):
+        return (start <= F.lit(float(k))) & (F.col("cum__c") > F.lit(float(k)))
+
+    picked = cum.where(holds(k0) | holds(k1)).select("_v", "_c", "cum__c").collect()
+    by_rank = {}
+    for r in picked:
+        lo = r["cum__c"] - r["_c"]
+        for k in (k0, k1):
+            if lo <= k < r["cum__c"]:
+                by_rank[k] = r["_v"]
+    v0, v1 = by_rank[k0], by_rank[k1]
+    if k0 == k1 or v0 == v1:
+        return v0
+    return (k1 - pos) * v0 + (pos - k0) * v1

@@ -191,7 +191,7 @@ def _standardized(spark, d):
     the fitted per-feature weights and means of the stand-in linear scorer."""
     mart, closed = _prepared(spark, d)
     train = closed.filter(F.col("split") == "train")
-    med = features.fit_medians(train).first().asDict()
+    med = features.medians(train)
     imputed_train = train.select("target", *features.impute_exprs({}, med))
     mom = features.fit_scaling(imputed_train).first()
     zcols = {c: features.scaled(c, mom[f"{c}__mean"], mom[f"{c}__std"]) for c in _NUM}

@@ -92,3 +92,21 @@ def test_temporal_split(spark):
         .withColumn("close_date", F.to_date("d"))
     out = {r.opportunity_id: r.split for r in splits.with_temporal(df, "2017-10-01").collect()}
     assert out == {"a": "train", "b": "train", "c": "test", "d": "test", "e": None}
+
+
+def test_exact_quantile_matches_percentile(spark):
+    random.seed(9)
+    vals = [float(random.randint(0, 40)) for _ in range(700)] + [random.random() * 100 for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    for q in (0.0, 0.25, 0.5, 0.75, 0.9, 1.0):
+        exact = df.agg(F.percentile("x", q)).first()[0]
+        got = ranking.exact_quantile(df, "x", q, ranges=8)
+        assert abs(got - exact) < 1e-9, (q, got, exact)
+    assert ranking.exact_quantile(df.limit(0), "x", 0.5) is None
+
+
+def test_wide_columns_take_the_distributed_median(spark):
+    from dealscope.operators import features
+    df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (4.0, 6.0), (9.0, None)], "a double, b double")
+    assert features.medians(df, ["a", "b"], max_distinct=0) == {"a": 3.0, "b": 5.0}
+    assert features.medians(df, ["a", "b"]) == {"a": 3.0, "b": 5.0}
