@@ -1,7 +1,8 @@
 """Feature preprocessing fitted on training rows, expressed as Spark ML stages.
 
-Fit (three aggregation jobs over the training rows, results are constants):
-* most-frequent level per categorical (ties -> smallest), ``mode(c, true)``;
+Fit (a few aggregation jobs over the training rows; results are constants):
+* most-frequent level per categorical (ties -> smallest): ``mode(c, true)`` for
+  narrow columns, a distributed count + top-1 for wide ones;
 * exact median per numeric (ML ``Imputer`` is approximate): one
   ``percentile`` pass for low-cardinality columns, a distributed exact
   quantile for wide ones;
@@ -44,13 +45,39 @@ def _sql_num(v) -> str:
     return "CAST(NULL AS DOUBLE)" if v is None else f"CAST({float(v)!r} AS DOUBLE)"
 
 
+def modes(train: DataFrame, cols: Sequence[str] = CATEGORICAL_FEATURES,
+          max_distinct: int = PERCENTILE_MAX_DISTINCT, widths=None) -> dict:
+    """Most frequent non-null value per column (ties -> smallest).  Narrow
+    columns share one ``mode`` pass; a wide column is counted with a
+    distributed group-by and the top row is taken with a top-1 sort, so no task
+    holds every distinct level."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    if widths is None:
+        widths = train.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    narrow = [c for c in cols if widths[c] <= max_distinct]
+    out = {}
+    if narrow:
+        row = train.agg(*[F.mode(c, True).alias(c) for c in narrow]).first()
+        out.update({c: row[c] for c in narrow})
+    for c in cols:
+        if c not in out:
+            top = (train.where(F.col(c).isNotNull()).groupBy(c).count()
+                   .orderBy(F.col("count").desc(), F.col(c).asc()).limit(1).collect())
+            out[c] = top[0][c] if top else None
+    return {c: out[c] for c in cols}
+
+
 def fit_modes(train: DataFrame, cols: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:
     """One row: most frequent non-null value per column (ties -> smallest)."""
-    return train.agg(*[F.mode(c, True).alias(c) for c in cols])
+    values = modes(train, cols)
+    return train.sparkSession.createDataFrame(
+        [tuple(values[c] for c in cols)], ", ".join(f"`{c}` string" for c in cols))
 
 
 def medians(train: DataFrame, cols: Sequence[str] = NUMERIC_FEATURES,
-            max_distinct: int = PERCENTILE_MAX_DISTINCT) -> dict:
+            max_distinct: int = PERCENTILE_MAX_DISTINCT, widths=None) -> dict:
     """Exact median per column.  Low-cardinality columns share one
     ``percentile`` pass; high-cardinality ones (e.g. revenue at scale) use
     ``ranking.exact_quantile`` so no task holds every distinct value."""
@@ -58,7 +85,8 @@ def medians(train: DataFrame, cols: Sequence[str] = NUMERIC_FEATURES,
     cols = list(cols)
     if not cols:
         return {}
-    widths = train.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    if widths is None:
+        widths = train.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
     narrow = [c for c in cols if widths[c] <= max_distinct]
     out = {}
     if narrow:
@@ -136,15 +164,16 @@ def preprocess_sql(modes: dict, medians: dict, means: dict, stds: dict) -> str:
 
 def fit_features(train: DataFrame, categorical: Sequence[str] = CATEGORICAL_FEATURES,
                  numeric: Sequence[str] = NUMERIC_FEATURES) -> FittedFeatures:
-    first = train.agg(*[F.mode(c, True).alias(f"m__{c}") for c in categorical]).first()
-    modes = {c: first[f"m__{c}"] for c in categorical}
-    meds = medians(train, numeric)
+    cols = list(categorical) + list(numeric)
+    widths = train.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    mode_values = modes(train, categorical, widths=widths)
+    meds = medians(train, numeric, widths=widths)
     imputed = train.select(*impute_exprs({}, meds))
     sc = fit_scaling(imputed, numeric).first()
     means = {c: sc[f"{c}__mean"] for c in numeric}
     stds = {c: sc[f"{c}__std"] for c in numeric}
 
-    sql = SQLTransformer(statement=preprocess_sql(modes, meds, means, stds))
+    sql = SQLTransformer(statement=preprocess_sql(mode_values, meds, means, stds))
     prepared = sql.transform(train)
     indexer = StringIndexer(inputCols=[f"imp__{c}" for c in categorical],
                             outputCols=[f"idx__{c}" for c in categorical],
@@ -156,4 +185,4 @@ def fit_features(train: DataFrame, categorical: Sequence[str] = CATEGORICAL_FEAT
                                 + [f"num__{c}" for c in numeric],
                                 outputCol=FEATURES_COL, handleInvalid="keep")
     model = PipelineModel(stages=[sql, indexer, encoder, assembler])
-    return FittedFeatures(modes, meds, means, stds, categorical, numeric, model)
+    return FittedFeatures(mode_values, meds, means, stds, categorical, numeric, model)

@@ -100,3 +100,9 @@ def test_treeshap_additivity_on_spark_gbt(spark):
     for r in joined:
         p = r.probability[1]
         assert abs(sum(r.contributions) + r.base_value - math.log(p / (1 - p))) < 1e-9
+
+
+def test_wide_columns_take_the_distributed_mode(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("a",), ("b",), (None,), ("c",)], "c string")
+    assert features.modes(df, ["c"], max_distinct=0) == {"c": "a"}
+    assert features.modes(df, ["c"]) == {"c": "a"}
