@@ -42,14 +42,23 @@ def rank_within(df: DataFrame, part_cols: Sequence[str], hash_col: str, tie_col:
             .drop("_rng", "_off"))
 
 
+ROWS_PER_RANGE = 2_000_000
+MIN_RANGES, MAX_RANGES = 512, 65_536
+
+
 def running_sums(df: DataFrame, order_col: str, value_cols: Sequence[str],
-                 descending: bool = False, ranges: int = 512) -> DataFrame:
+                 descending: bool = False, ranges: int | None = None) -> DataFrame:
     """Inclusive running sums ``cum_<v>`` in order of ``order_col`` (values
     must be distinct, e.g. after a ``groupBy`` on it).
 
     Range edges come from ``approxQuantile`` (at most ``ranges`` numbers reach
-    the driver); rows are bucketed JVM-side with a binary search.
+    the driver); rows are bucketed JVM-side with a binary search.  By default
+    the number of ranges grows with the row count so that each window task
+    holds about ``ROWS_PER_RANGE`` rows at most.
     """
+    if ranges is None:
+        n = df.count()
+        ranges = min(max(MIN_RANGES, -(-n // ROWS_PER_RANGE)), MAX_RANGES)
     key = F.col(order_col).cast("double")
     key = -key if descending else key
     keyed = df.withColumn("_key", key)
@@ -93,7 +102,7 @@ def top_k_of_array(names: Sequence[str], values: Column, k: int) -> Column:
     return F.slice(F.sort_array(items), 1, k)
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, ranges: int = 512) -> float | None:
+def exact_quantile(df: DataFrame, col: str, q: float, ranges: int | None = None) -> float | None:
     """Exact interpolated quantile (as ``percentile``) of a high-cardinality
     column without holding all distinct values in one task.
 
