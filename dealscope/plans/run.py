@@ -64,7 +64,14 @@ def main(argv=None) -> dict:
                             F.count_if(F.col("deal_stage") == "Won").alias("wins"),
                             F.count_if(F.col("deal_stage") == "Lost").alias("losses"))
     result = checks.mart_checks(mart, scores, expected)
-    write_csv(result, f"{out}/checks")
+    if metrics:
+        # Model checks are reported with the data checks; a weak model on
+        # synthetic data is a finding, not a pipeline failure.
+        model_rows = spark.createDataFrame(checks.model_checks(metrics),
+                                           "check string, passed boolean, observed string")
+        write_csv(result.unionByName(model_rows), f"{out}/checks")
+    else:
+        write_csv(result, f"{out}/checks")
     checks.require(result)
     print(json.dumps(metrics, indent=2, default=str))
     return metrics
