@@ -50,7 +50,10 @@ def orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
         "o_orderpriority")
-    days = line_days(spark, sf_dir)
+    # The (order, ship day) side is line-item sized, never a bounded dimension:
+    # keep a sort-merge join (spills, and its partitioning serves the
+    # aggregation) instead of letting a small sample demote it to a broadcast.
+    days = line_days(spark, sf_dir).hint("merge")
     order_day = F.to_date("o_orderdate")
     # Grouping by the order's own columns (constant per order) keeps this a
     # hash aggregate; hash partitioning on o_orderkey satisfies the clustering.
