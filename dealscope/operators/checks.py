@@ -71,7 +71,13 @@ def mart_checks(mart: DataFrame, scores: DataFrame, expected: DataFrame) -> Data
              F.coalesce(fixed(F.col("ratio_min"), 3), F.lit("none"))),
         _row("every closed loss has an engage date", F.col("lost_no_engage") == 0,
              F.col("lost_no_engage").cast("string")))
-    return m.crossJoin(dup).crossJoin(s).crossJoin(expected).select(F.inline(rows))
+    # The other one-row aggregates join the mart row as scalar subqueries.
+    extra = [(dup, ["dup_keys"]), (s, s.columns), (expected, ["rows", "wins", "losses"])]
+    cols = []
+    for frame, names in extra:
+        packed = frame.select(F.struct(*names)).scalar()
+        cols += [packed[n].alias(n) for n in names]
+    return m.select("*", *cols).select(F.inline(rows))
 
 
 def model_checks(metrics: Mapping, model: str | None = None,

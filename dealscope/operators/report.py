@@ -35,16 +35,19 @@ def key_findings(mart: DataFrame) -> DataFrame:
 
 
 def portfolio_metrics(mart: DataFrame, scores: DataFrame) -> DataFrame:
-    """One row of headline counts; the two one-row aggregates are combined
-    with a 1 x 1 cross join."""
-    c = stage_counts(mart).select(
+    """One row of headline counts; the score counts arrive as one scalar
+    subquery (a struct), so no join is needed."""
+    s = scores.select(F.struct(
+        F.count(F.lit(1)).alias("open_deals"),
+        F.count_if(F.col("deal_stage") == STAGE_ENGAGING).alias("open_engaging_deals"),
+        F.count_if(F.col("stalled")).alias("stalled_deals"))).scalar()
+    return stage_counts(mart).select(
         F.col("total").alias("records_total"), F.col("closed").alias("records_closed"),
         F.col("won").alias("wins"), F.col("lost").alias("losses"),
-        F.try_divide(F.col("won").cast("double"), F.col("closed")).alias("closed_win_rate"))
-    s = scores.agg(F.count(F.lit(1)).alias("open_deals"),
-                   F.count_if(F.col("deal_stage") == STAGE_ENGAGING).alias("open_engaging_deals"),
-                   F.count_if(F.col("stalled")).alias("stalled_deals"))
-    return c.crossJoin(s)
+        F.try_divide(F.col("won").cast("double"), F.col("closed")).alias("closed_win_rate"),
+        s["open_deals"].alias("open_deals"),
+        s["open_engaging_deals"].alias("open_engaging_deals"),
+        s["stalled_deals"].alias("stalled_deals"))
 
 
 def options(scores: DataFrame, column: str = "regional_office") -> DataFrame:
