@@ -195,7 +195,13 @@ def _standardized(spark, d):
     imputed_train = train.select("target", *features.impute_exprs({}, med))
     mom = features.fit_scaling(imputed_train).first()
     zcols = {c: features.scaled(c, mom[f"{c}__mean"], mom[f"{c}__std"]) for c in _NUM}
-    labelled = mart.join(closed.select("opportunity_id", "split", "target"), "opportunity_id", "left")
+    # Closed deals carry split and target; the others get NULLs.  A union of
+    # the two halves of the mart replaces a join back on opportunity_id.
+    keep = ["opportunity_id", "deal_stage", *_NUM]
+    others = (mart.filter(~F.col("deal_stage").isin("Won", "Lost") | F.col("deal_stage").isNull())
+              .select(*keep, F.lit(None).cast("string").alias("split"),
+                      F.lit(None).cast("int").alias("target")))
+    labelled = closed.select(*keep, "split", "target").unionByName(others)
     z = labelled.select("opportunity_id", "deal_stage", "split", "target",
                         *[F.coalesce(F.col(c).cast("double"), F.lit(med[c])).alias(c) for c in _NUM])
     z = z.select("opportunity_id", "deal_stage", "split", "target",
