@@ -106,3 +106,24 @@ def test_wide_columns_take_the_distributed_mode(spark):
     df = spark.createDataFrame([("b",), ("a",), ("a",), ("b",), (None,), ("c",)], "c string")
     assert features.modes(df, ["c"], max_distinct=0) == {"c": "a"}
     assert features.modes(df, ["c"]) == {"c": "a"}
+
+
+def test_treeshap_additivity_on_pipeline_model(spark):
+    """Σ contributions + base = logit(P(won)) for the real feature pipeline
+    (one-hot columns included) fitted on the smallest driver tables."""
+    from dealscope.operators import models, splits
+    from dealscope.plans.queries import load_mart
+    from tests.conftest import SF_SMALL
+    closed = splits.with_holdout(models.model_frame(load_mart(spark, SF_SMALL)))
+    train = closed.filter(F.col("split") == "train")
+    test = closed.filter(F.col("split") == "test")
+    model = models.fit(train, models.BOOSTED)
+    cats = {n["categorical"] for t in treeshap.tree_tables(model.estimator_model, spark)
+            for n in t["nodes"].values()}
+    contrib = treeshap.tree_contributions(model.pipeline.transform(test), model)
+    rows = contrib.join(model.score(test).select("opportunity_id", "propensity_to_close"),
+                        "opportunity_id").collect()
+    assert rows and cats
+    for r in rows:
+        p = r.propensity_to_close
+        assert abs(sum(r.contributions) + r.base_value - math.log(p / (1 - p))) < 1e-9
