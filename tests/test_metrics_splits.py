@@ -110,3 +110,14 @@ def test_wide_columns_take_the_distributed_median(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (4.0, 6.0), (9.0, None)], "a double, b double")
     assert features.medians(df, ["a", "b"], max_distinct=0) == {"a": 3.0, "b": 5.0}
     assert features.medians(df, ["a", "b"]) == {"a": 3.0, "b": 5.0}
+
+
+def test_auc_equals_spark_evaluator(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    random.seed(11)
+    rows = [(float(random.randint(0, 1)), random.randint(0, 30) / 30) for _ in range(500)]
+    df = spark.createDataFrame(rows, "target double, score double")
+    ours = metrics.auc(df).first().auc
+    ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="target",
+                                       metricName="areaUnderROC", numBins=0).evaluate(df)
+    assert abs(ours - ev) < 1e-12
