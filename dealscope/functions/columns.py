@@ -48,11 +48,7 @@ def num_or(col: Column, default: float = 0.0) -> Column:
     return F.coalesce(F.nanvl(as_double, F.lit(None).cast("double")), F.lit(float(default)))
 
 
-def md5_bucket(key: Column, seed: int, modulus: int) -> Column:
-    """First 8 hex digits of md5(key || '-' || seed) as an integer, mod ``modulus``."""
-    return md5_hash32(key, seed) % F.lit(modulus)
-
-
 def md5_hash32(key: Column, seed: int) -> Column:
+    """First 8 hex digits of md5(key || '-' || seed) as an integer in [0, 2**32)."""
     digest = F.md5(F.concat(key.cast("string"), F.lit(f"-{seed}")))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")

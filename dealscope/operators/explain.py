@@ -65,11 +65,6 @@ def _explode_top(top: DataFrame, id_col: str) -> DataFrame:
         (F.col("_pos") + 1).cast("int").alias("rank"))
 
 
-def array_terms(names: Sequence[str], array_col: str) -> list[tuple[str, Column]]:
-    """Terms from an array<double> column of contributions (one per name)."""
-    return [(n, F.col(array_col)[i]) for i, n in enumerate(names)]
-
-
 def _vector_means(prepared: DataFrame, features_col: str = "features") -> list[float]:
     """Background means of the feature vector (one distributed aggregation)."""
     from pyspark.ml.stat import Summarizer

@@ -6,7 +6,6 @@ import json
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -98,7 +97,3 @@ def read_artifacts(spark: SparkSession, base: str) -> dict[str, DataFrame]:
         "contributions": spark.read.parquet(f"{base}/top_contributions"),
         "metrics": spark.read.json(f"{base}/bundle/metrics"),
     }
-
-
-def predictions_bounded(df: DataFrame, col: str = "propensity_to_close") -> DataFrame:
-    return df.agg(F.min(col).alias("min"), F.max(col).alias("max"))

@@ -71,3 +71,15 @@ def test_bundle_round_trip(spark, scratch):
     orig = {r.opportunity_id: r.propensity_to_close for r in preds.collect()}
     assert all(abs(r.probability[1] - orig[r.opportunity_id]) < 1e-12 for r in again)
     assert back["test_predictions"].count() == len(orig)
+
+
+def test_artifact_reader(spark, scratch):
+    from dealscope.operators import scoring
+    from dealscope.sources.sinks import read_artifacts, write_table
+    scores = scoring.score_open_standin(load_mart(spark, SF_SMALL))
+    write_table(scores, os.path.join(scratch, "open_deal_scores"))
+    write_table(scores.select("opportunity_id").limit(3), os.path.join(scratch, "top_contributions"))
+    write_metrics(spark, {"selected_model": "x"}, os.path.join(scratch, "bundle", "metrics"))
+    art = read_artifacts(spark, scratch)
+    assert art["scores"].count() == scores.count()
+    assert art["metrics"].first().selected_model == "x"
