@@ -54,10 +54,21 @@ def running_sums(df: DataFrame, order_col: str, value_cols: Sequence[str],
     Range edges come from ``approxQuantile`` (at most ``ranges`` numbers reach
     the driver); rows are bucketed JVM-side with a binary search.  By default
     the number of ranges grows with the row count so that each window task
-    holds about ``ROWS_PER_RANGE`` rows at most.
+    holds about ``ROWS_PER_RANGE`` rows at most; an input proven to have at
+    most that many rows is summed in one ordered window.
     """
     if ranges is None:
         n = df.count()
+        if n <= ROWS_PER_RANGE:
+            # Proven small (e.g. a few thousand distinct scores): one ordered
+            # window task holds it, no range edges or offsets needed.
+            key = F.col(order_col).cast("double")
+            w = (Window.orderBy((-key) if descending else key)
+                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            out = df
+            for v in value_cols:
+                out = out.withColumn(f"cum_{v}", F.sum(v).over(w))
+            return out
         ranges = min(max(MIN_RANGES, -(-n // ROWS_PER_RANGE)), MAX_RANGES)
     key = F.col(order_col).cast("double")
     key = -key if descending else key
