@@ -16,17 +16,29 @@ from pyspark.sql import functions as F
 
 from .joins import checked_broadcast
 
+ROWS_PER_RANGE = 2_000_000
+MIN_RANGES, MAX_RANGES = 512, 65_536
+
 
 def rank_within(df: DataFrame, part_cols: Sequence[str], hash_col: str, tie_col: str,
-                bits: int = 12, rank_col: str = "_rank", size_col: str = "_size") -> DataFrame:
+                bits: int = 12, rank_col: str = "_rank", size_col: str = "_size",
+                small_rows: int | None = None) -> DataFrame:
     """Exact 0-based rank of each row within ``part_cols`` ordered by
     (``hash_col``, ``tie_col``), plus the group size.
 
     ``hash_col`` must be a uniform integer in [0, 2**32) (an md5 prefix), so its
     top ``bits`` bits give balanced ranges; ``part_cols`` is a low-cardinality
     label (non-null), which bounds the offsets table to labels x 2**bits rows.
+    An input proven to hold at most ``small_rows`` rows (default
+    ``ROWS_PER_RANGE``) is ranked with one window per class.
     """
     parts = list(part_cols)
+    limit = ROWS_PER_RANGE if small_rows is None else small_rows
+    if limit > 0 and df.count() <= limit:
+        # Proven small: each class fits one window task.
+        w = Window.partitionBy(*parts).orderBy(hash_col, tie_col)
+        return (df.withColumn(rank_col, F.row_number().over(w) - F.lit(1))
+                .withColumn(size_col, F.count(F.lit(1)).over(Window.partitionBy(*parts))))
     rng = F.call_function("shiftright", F.col(hash_col), F.lit(32 - bits))
     withr = df.withColumn("_rng", rng)
     counts = withr.groupBy(*parts, "_rng").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -42,10 +54,6 @@ def rank_within(df: DataFrame, part_cols: Sequence[str], hash_col: str, tie_col:
             .drop("_rng", "_off"))
 
 
-ROWS_PER_RANGE = 2_000_000
-MIN_RANGES, MAX_RANGES = 512, 65_536
-
-
 def running_sums(df: DataFrame, order_col: str, value_cols: Sequence[str],
                  descending: bool = False, ranges: int | None = None) -> DataFrame:
     """Inclusive running sums ``cum_<v>`` in order of ``order_col`` (values

@@ -63,12 +63,14 @@ def test_rank_within_exact(spark):
     random.seed(4)
     rows = [(f"id{i}", i % 3 == 0, random.getrandbits(32)) for i in range(2000)]
     df = spark.createDataFrame(rows, "id string, label boolean, h bigint")
-    out = ranking.rank_within(df, ["label"], "h", "id", bits=6).collect()
-    for lab in (True, False):
-        mine = sorted((r._rank, r.id) for r in out if r.label == lab)
-        ref = sorted(((h, i) for i, label, h in rows if label == lab))
-        assert [i for _, i in mine] == [i for _, i in ref]
-        assert [rk for rk, _ in mine] == list(range(len(ref)))
+    for small in (0, None):                      # range path, then the small path
+        out = ranking.rank_within(df, ["label"], "h", "id", bits=6, small_rows=small).collect()
+        for lab in (True, False):
+            mine = sorted((r._rank, r.id) for r in out if r.label == lab)
+            ref = sorted(((h, i) for i, label, h in rows if label == lab))
+            assert [i for _, i in mine] == [i for _, i in ref]
+            assert [rk for rk, _ in mine] == list(range(len(ref)))
+            assert {r._size for r in out if r.label == lab} == {len(ref)}
 
 
 def test_splits_are_stratified_and_disjoint(spark):

@@ -53,10 +53,15 @@ def test_adapter_scan_reads_only_needed_columns(spark):
 
 
 def test_rank_windows_are_partitioned(spark):
-    mart = load_mart(spark, SF_SMALL)
-    text = plan_text(splits.with_folds(splits.closed_with_target(mart)))
-    windows = [ln for ln in text.splitlines() if ln.strip().startswith("Arguments") and "_rng" in ln]
+    from dealscope.functions.columns import md5_hash32
+    from dealscope.operators import ranking
+    closed = splits.closed_with_target(load_mart(spark, SF_SMALL)) \
+        .withColumn("_h", md5_hash32(F.col("opportunity_id"), 42))
+    big = plan_text(ranking.rank_within(closed, ["target"], "_h", "opportunity_id", small_rows=0))
+    windows = [ln for ln in big.splitlines() if ln.strip().startswith("Arguments") and "_rng" in ln]
     assert windows, "row-grain window must be partitioned by label and hash range"
+    small = plan_text(splits.with_folds(splits.closed_with_target(load_mart(spark, SF_SMALL))))
+    assert "SinglePartition" not in small   # proven-small path still partitions by class
 
 
 def test_top_risk_is_take_ordered(spark):
