@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dealscope.llm import decontaminate, rules, tokens
+from dealscope.llm import decontaminate, mixing, quality, rules, tokens
 from dealscope.llm.common import table
 
 
@@ -13,10 +13,19 @@ def _tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_policy(rules.ledger(table(spark, sf_dir, "documents")))
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                              table(spark, sf_dir, "benchmark"))
@@ -28,7 +37,8 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(table(spark, sf_dir, "documents"), _tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op7_benchmark_decontamination, op8_token_output)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality_classifier, op2_quality_rules, op4_source_mixing, op7_benchmark_decontamination, op8_token_output)}
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
