@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dealscope.llm import decontaminate, mixing, quality, rules, tokens
+from dealscope.llm import decontaminate, mixing, quality, rules, simhash, tokens
 from dealscope.llm.common import table
 
 
@@ -26,6 +27,11 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                              table(spark, sf_dir, "benchmark"))
@@ -38,7 +44,8 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_classifier, op2_quality_rules, op4_source_mixing, op7_benchmark_decontamination, op8_token_output)}
+    op1_quality_classifier, op2_quality_rules, op4_source_mixing,
+    op5_simhash, op7_benchmark_decontamination, op8_token_output)}
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
