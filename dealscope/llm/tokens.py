@@ -21,11 +21,13 @@ empty token table; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,7 @@ from dealscope.session import ensure_checkpoint_dir
 
 END_ID = 1
 SHARD_BYTES = 16 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 _SAMPLE = 64
 _HEAD = struct.Struct("<IIB")
 _SHARD_SCHEMA = ("part int, seq int, doc_ids array<bigint>, n_tokens bigint, ids binary, "
@@ -105,35 +107,80 @@ class EliasFano:
 # ---------------------------------------------------------------- encoding
 
 class WordEncoder:
-    """Whole-text encoding through the tokenizers library, word by word.
-
-    The tokenizer's pre-tokenizer never joins characters across white space and its
-    normalizer never composes across it, so the ids of a text are the ids of its
-    words (split at ASCII white space) one after the other.  Each distinct word goes
-    through the library once per cache filling; the cache is emptied when full.
+    """Whole-text encoding through the tokenizers library, word by word where that is exact.
+
+    The text is encoded word by word if the tokenizer file declares the word pre-tokenizer
+    below, which never joins characters across white space and cuts a letter or digit from
+    punctuation after it, under a normalizer of NFC, white space folding and lower case.
+    Then the ids of a text are those of its words one after the other, and each distinct
+    word goes through the library once per cache filling (the cache is emptied when full).
+    Under any other tokenizer each text goes through the library as a whole.
     """
 
+    _WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    _TAIL = re.compile(rb"(.*[0-9A-Za-z])([.,;:!?]+)", re.S)
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
         self.id_bytes = 2 if max(self._tok.get_vocab_size(with_added_tokens=True), END_ID + 1) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.id_bytes}")
-        self._cache: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        self._cache = _Cache(self._word)
+        spec = json.loads(self._tok.to_str())
+        steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        cuts = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self._by_word = (steps == ["NFC", "Replace", "Lowercase"]
+                         and cuts[0].get("pattern") == {"Regex": self._WORD_SPLIT} and cuts[0].get("behavior") == "Removed"
+                         and [c["type"] for c in cuts[1:]] == ["ByteLevel"] and not cuts[1]["add_prefix_space"])
+
+    def _whole(self, text: bytes) -> bytes:
+        found = self._tok.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)
+        return np.array(found[0].ids, self.dtype).tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        """Packed ids of a word that the cache does not hold."""
+        if word.isalpha() and word.islower():       # ASCII letters only: normalizing leaves them as they are
+            return np.array([t.id for t in self._tok.model.tokenize(word.decode())], self.dtype).tobytes()
+        tail = self._TAIL.fullmatch(word)
+        if tail and b"<|" not in word:
+            return self._cache[tail[1]] + self._cache[tail[2]]
+        return self._whole(word)
+
+    def encode(self, texts: Iterable[bytes]) -> Iterator[bytes]:
         """Packed ids of each text, end id included."""
-        end = np.array([END_ID], self.dtype).tobytes()
+        end, cache = np.array([END_ID], self.dtype).tobytes(), self._cache
         for text in texts:
-            words, cache = text.split(), self._cache
-            new = [w for w in set(words) if w not in cache]
-            if new:
-                if len(cache) > CACHE_WORDS:
-                    cache.clear()
-                    new = list(set(words))
-                found = self._tok.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-                cache.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(new, found))
-            yield b"".join([*map(cache.__getitem__, words), end])
+            if not self._by_word:
+                yield self._whole(text) + end
+                continue
+            # Lower case first only where no combining mark (U+0300 - U+036F) could compose
+            # otherwise and no special token could appear.
+            if b"\xcc" not in text and b"\xcd" not in text and b"<|" not in text:
+                text = text.lower()
+            if len(cache) > CACHE_WORDS:
+                cache.clear()
+            yield b"".join([*map(cache.__getitem__, text.split()), end])
+
+
+class _Cache(dict):
+    def __init__(self, find):
+        super().__init__()
+        self._find = find
+
+    def __missing__(self, word: bytes) -> bytes:
+        self[word] = found = self._find(word)
+        return found
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """The encoder of this Python worker, which keeps its cache from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -151,7 +198,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_
     rows = rows.select(F.spark_partition_id().alias("part"), "doc_id", "body")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordEncoder(tokenizer)
+        coder = encoder(tokenizer)
         part, seq, doc_ids, blobs, size = 0, 0, [], [], 0
 
         def close() -> pa.RecordBatch:
