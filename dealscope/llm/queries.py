@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from dealscope.llm import decontaminate, mixing, quality, rules, simhash, tokens
 from dealscope.llm.common import table
 
@@ -46,6 +47,7 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_quality_rules, op4_source_mixing,
     op5_simhash, op7_benchmark_decontamination, op8_token_output)}
+QUERIES["pipeline"] = corpus_pipeline.run
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 
