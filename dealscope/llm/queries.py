@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dealscope.llm import decontaminate, mixing, quality, rules, simhash, tokens
+from dealscope.llm import decontaminate, mixing, quality, rules, simhash, suffixes, tokens
 from dealscope.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False).drop("kept")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                              table(spark, sf_dir, "benchmark"))
@@ -46,7 +50,7 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_quality_rules, op4_source_mixing,
-    op5_simhash, op7_benchmark_decontamination, op8_token_output)}
+    op5_simhash, op6_suffix_dedup, op7_benchmark_decontamination, op8_token_output)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 _WORDS = r"[^\x20\x09-\x0D]+"
