@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dealscope.llm import decontaminate, mixing, quality, rules, simhash, suffixes, tokens
+from dealscope.llm import decontaminate, mixing, pages, quality, rules, simhash, suffixes, tokens
 from dealscope.llm.common import table
 
 
@@ -48,9 +48,13 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(table(spark, sf_dir, "documents"), _tokenizer())
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_quality_rules, op4_source_mixing,
-    op5_simhash, op6_suffix_dedup, op7_benchmark_decontamination, op8_token_output)}
+    op5_simhash, op6_suffix_dedup, op7_benchmark_decontamination, op8_token_output, op9_html_extraction)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 _WORDS = r"[^\x20\x09-\x0D]+"
