@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dealscope.llm import decontaminate, mixing, pages, quality, rules, simhash, suffixes, tokens
+from dealscope.llm import decontaminate, lines, mixing, pages, quality, rules, simhash, suffixes, tokens, toxicity
 from dealscope.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_policy(rules.ledger(table(spark, sf_dir, "documents")))
 
 
+def op3_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
@@ -52,9 +56,13 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents"), keep_text=False).drop("kept")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_quality_classifier, op2_quality_rules, op4_source_mixing,
-    op5_simhash, op6_suffix_dedup, op7_benchmark_decontamination, op8_token_output, op9_html_extraction)}
+    op1_quality_classifier, op2_quality_rules, op3_toxicity_chain, op4_source_mixing,
+    op5_simhash, op6_suffix_dedup, op7_benchmark_decontamination, op8_token_output, op9_html_extraction, op10_line_dedup)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 _WORDS = r"[^\x20\x09-\x0D]+"
