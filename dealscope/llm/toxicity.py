@@ -37,7 +37,6 @@ MAX_ROWS = 10_000
 BITS = 19
 FOLDS = 3
 EPOCHS = 6
-POSITIVE_WEIGHT = 3         # toxic documents are rare: each counts so often
 THRESHOLD = 0.5
 PREFIXES = (4, 5, 6)
 _CACHE_WORDS = 300_000
@@ -95,7 +94,7 @@ def _fit_round(rows: DataFrame, j: int, n: int) -> DataFrame:
                          np.concatenate((counts, dense, [1.0])).astype(float)))
         label, outside = np.array([y[j] for y in pdf["labels"]]), pdf["fold"].to_numpy() != fold
         model = Ftrl(size, n, **_PARAMS)
-        chosen = [(*data[k], label[k]) for k in np.flatnonzero(outside) for _ in range(POSITIVE_WEIGHT if label[k] else 1)]
+        chosen = [(*data[k], label[k]) for k in np.flatnonzero(outside)]
         w = model.fit(chosen, EPOCHS)
         if fold == FOLDS:
             used = np.flatnonzero(w)
