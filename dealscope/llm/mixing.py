@@ -73,7 +73,7 @@ def balance(cells: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFrame:
     """source, source_size, target, scale, lam: the dual variable of each source by Newton
     steps, all sources at once; each step is one aggregation over the (source, size, n) cells."""
     stats = cells.groupBy("source").agg(
-        (F.sum(F.col("n") * F.col("size").cast("double") * F.col("size")) / F.sum(F.col("n") * F.col("size"))).alias("scale"))
+        F.try_divide(F.sum(F.col("n") * F.col("size").cast("double") * F.col("size")), F.sum(F.col("n") * F.col("size"))).alias("scale"))
     full = F.col("target") >= cap * F.col("source_size")
     state = goals.join(stats.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left")
     state = state.select("source", "source_size", "target", F.coalesce("scale", F.lit(1.0)).alias("scale"),
@@ -93,7 +93,7 @@ def balance(cells: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFrame:
         gap = F.col("have") - F.col("target")
         low = F.when(gap < 0, F.col("lam")).otherwise(F.col("low"))
         high = F.when(gap > 0, F.col("lam")).otherwise(F.col("high"))
-        newton = F.col("lam") - gap / F.col("slope")
+        newton = F.col("lam") - F.try_divide(gap, F.col("slope"))
         inside = (F.col("slope") > 0) & (F.col("low").isNull() | (newton > F.col("low"))) \
             & (F.col("high").isNull() | (newton < F.col("high")))
         middle = F.when(F.col("low").isNull(), F.col("high") * 2 - 1).when(F.col("high").isNull(), F.col("low") * 2 + 1) \

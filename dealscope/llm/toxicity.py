@@ -98,11 +98,13 @@ def _fit_round(rows: DataFrame, j: int, n: int) -> DataFrame:
         w = model.fit(chosen, EPOCHS)
         if fold == FOLDS:
             used = np.flatnonzero(w)
-            return pd.DataFrame({"at": pd.array([pd.NA], "Int64"), "p": [0.0], "columns": [used], "weights": [w[used]]})
+            return pd.DataFrame({"at": pd.array([pd.NA], "Int64"), "p": [0.0], "columns": pd.Series([used], dtype="object"),
+                                 "weights": pd.Series([w[used]], dtype="object")})
         inside = np.flatnonzero(~outside)
         return pd.DataFrame({"at": pd.array(pdf["at"].to_numpy()[inside], "Int64"),
                              "p": [float(sigmoid(w[data[k][0]] @ data[k][1])) for k in inside],
-                             "columns": [None] * len(inside), "weights": [None] * len(inside)})
+                             "columns": pd.Series([None] * len(inside), dtype="object"),
+                             "weights": pd.Series([None] * len(inside), dtype="object")})
 
     tasks = rows.withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(FOLDS))))
     return tasks.groupBy("task").applyInPandas(fit, "at bigint, p double, columns array<bigint>, weights array<double>")
@@ -116,7 +118,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", group_col:
     rows = docs.select("doc_id", utf8("text").alias("body"), F.col(group_col).alias("grp")).join(F.broadcast(known), "doc_id")
 
     def hashed(bodies: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([features(b) for b in bodies], columns=["columns", "counts"])
+        found = [features(b) for b in bodies]
+        return pd.DataFrame({"columns": pd.Series([c for c, _ in found], dtype="object"),
+                             "counts": pd.Series([n for _, n in found], dtype="object")})
 
     rows = rows.select(F.xxhash64("doc_id", "body").alias("at"), "grp", "label",
                        F.pandas_udf(hashed, "columns array<bigint>, counts array<bigint>")("body").alias("f"))
