@@ -20,15 +20,44 @@ def recode(col: Column, mapping: Mapping[str, str] | None) -> Column:
     return out.otherwise(col)
 
 
+# Accepted shapes of untrusted text; anything else becomes NULL.  Dates: year, month, day with
+# one kind of separator (- / blank or backslash), optionally a time of day, which is dropped.
+# Numbers: decimal digits with single underscores between them, a point, an exponent; inf and
+# nan by name; no type suffixes, no hexadecimal.
+_DATE_TEXT = r"^\s*(\d{1,6})([-/ \\])(\d{1,2})\2(\d{1,2})(?:[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?\s*$"
+_DIGITS = r"\d+(?:_\d+)*"
+_NUMBER_TEXT = (rf"^\s*[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+                r"|(?i:inf|infinity|nan))\s*$")
+
+
+def date_of_text(col: Column) -> Column:
+    """A date written as year, month, day; NULL for any other text or an impossible day."""
+    def part(i: int, width: int) -> Column:
+        return F.lpad(F.regexp_extract(col, _DATE_TEXT, i), width, "0")
+
+    year = F.regexp_extract(col, _DATE_TEXT, 1)
+    iso = F.concat_ws("-", F.when(F.length(year) < 4, F.lpad(year, 4, "0")).otherwise(year), part(3, 2), part(4, 2))
+    return F.when(col.rlike(_DATE_TEXT), iso).try_cast("date")
+
+
+def double_of_text(col: Column) -> Column:
+    """A decimal number; NULL for any other text."""
+    return F.when(col.rlike(_NUMBER_TEXT), F.trim(F.replace(col, F.lit("_"), F.lit("")))).try_cast("double")
+
+
 def typed(df: DataFrame, name: str, dtype: str) -> Column:
-    """Column ``name`` as ``dtype``; untrusted strings go through ``try_cast``
-    so that bad values become NULL.  Integer targets parse the text as a
-    double first and round, as the reference's database does."""
+    """Column ``name`` as ``dtype``; untrusted strings are checked against the accepted
+    shapes first, so that bad values become NULL.  Integer targets parse the text as a
+    double first and round half away from zero."""
     field = df.schema[name].dataType
     col = F.col(name)
     if isinstance(field, T.StringType):
         if dtype in ("int", "bigint"):
-            return F.round(col.try_cast("double")).try_cast(dtype)
+            return F.round(double_of_text(col)).try_cast(dtype)
+        if dtype == "double":
+            return double_of_text(col)
+        if dtype == "date":
+            return date_of_text(col)
         return col.try_cast(dtype)
     return col.cast(dtype)
 
@@ -44,7 +73,7 @@ def clip(col: Column, lo: float, hi: float) -> Column:
 
 def num_or(col: Column, default: float = 0.0) -> Column:
     """Numeric coercion with default: bad text, NULL and NaN -> ``default``."""
-    as_double = col.try_cast("double")
+    as_double = col.try_cast("double")          # the column is numeric in every caller
     return F.coalesce(F.nanvl(as_double, F.lit(None).cast("double")), F.lit(float(default)))
 
 

@@ -4,7 +4,8 @@ Python's ``format`` rounds the *exact binary value* of a double half-to-even,
 while Java's formatter (behind ``format_string``) rounds half-up on the
 shortest decimal form.  ``fixed`` reproduces Python exactly with integer
 arithmetic: an error-free product gives the exact scaled value, and the
-half-even decision compares exact doubles.  Valid for |x| < 2**50, d <= 3.
+half-even decision compares exact doubles.  From 2**42 on the digits are put together
+from exact pieces.
 """
 
 from __future__ import annotations
@@ -51,17 +52,71 @@ def scaled_half_even(x: Column, d: int) -> Column:
     return q0 + F.when(up, F.lit(1)).otherwise(F.lit(0))
 
 
+_LARGE = float(2 ** 42)         # below, |x| * 10**3 is less than 2**52
+_PIECE = float(2 ** 50)
+_TOO_LARGE = 1e38               # beyond a decimal's 38 digits
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once and bound to a name."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _floor(c: Column) -> Column:
+    """The whole part as a double (``floor`` would overflow a bigint)."""
+    return c - F.pmod(c, F.lit(1.0))
+
+
+def _large(a: Column, d: int) -> Column:
+    """Python's digits of a double from 2**42 up: the whole part is put together as a decimal
+    from 50-bit pieces, which are exact, and the fraction rounded by itself."""
+    unit = F.lit(2 ** 50).cast("decimal(16,0)")
+
+    def piece(c: Column) -> Column:
+        return c.cast("bigint").cast("decimal(16,0)")
+
+    def pieces(s: Column) -> Column:
+        high = _floor(s["whole"] / F.lit(_PIECE))
+        return F.struct(s["rest"].alias("rest"), high.alias("high"), (s["whole"] - high * F.lit(_PIECE)).alias("low"))
+
+    def rounded(s: Column) -> Column:
+        top = _floor(s["high"] / F.lit(_PIECE))
+        digits = ((piece(top) * unit + piece(s["high"] - top * F.lit(_PIECE))).cast("decimal(31,0)") * unit
+                  + piece(s["low"])).cast("decimal(38,0)")
+        if d == 0:
+            odd = F.pmod(s["low"], F.lit(2.0)) == 1
+            q = F.when((s["rest"] > 0.5) | ((s["rest"] == 0.5) & odd), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+        else:
+            q = scaled_half_even(s["rest"], d)
+        return F.struct(digits.alias("digits"), q.alias("q"))
+
+    def written(s: Column) -> Column:
+        carry = F.floor(s["q"] / F.lit(10 ** d)).cast("decimal(1,0)")
+        whole = (s["digits"] + carry).cast("decimal(38,0)").cast("string")
+        return whole if d == 0 else F.concat(whole, F.lit("."), F.lpad((s["q"] % F.lit(10 ** d)).cast("string"), d, "0"))
+
+    split = _let(a, lambda v: F.struct(_floor(v).alias("whole"), (v - _floor(v)).alias("rest")))
+    return _let(_let(_let(split, pieces), rounded), written)
+
+
 def fixed(x: Column, d: int) -> Column:
-    """Python's ``f"{x:.{d}f}"`` for a double column (NULL stays NULL)."""
-    q = scaled_half_even(x, d)
-    sign = F.when(x.cast("double") < 0, F.lit("-")).otherwise(F.lit(""))
+    """Python's ``f"{x:.{d}f}"`` for a double column, d <= 3: NULL stays NULL, NaN and the
+    infinities are written as Python does, -0.0 keeps its sign; NULL from 1e38 up."""
+    x = x.cast("double")
+    a = F.abs(x)
+    finite = ~F.isnan(x) & (a < F.lit(float("inf")))
+    small = F.when(finite & (a < F.lit(_LARGE)), x)
+    q = scaled_half_even(small, d)
     if d == 0:
         body = q.cast("string")
     else:
         p = 10 ** d
         body = F.concat(F.floor(q / F.lit(p)).cast("bigint").cast("string"), F.lit("."),
                         F.lpad((q % F.lit(p)).cast("string"), d, "0"))
-    return F.when(x.isNotNull(), F.concat(sign, body))
+    large = F.when(finite & (a >= F.lit(_LARGE)) & (a < F.lit(_TOO_LARGE)), a)
+    text = F.when(F.isnan(x), F.lit("nan")).when(~finite, F.lit("inf")).otherwise(F.coalesce(body, _large(large, d)))
+    sign = F.when(~F.isnan(x) & x.cast("string").startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    return F.concat(sign, text)
 
 
 def percent(x: Column, d: int) -> Column:

@@ -11,22 +11,18 @@ from ..schemas import (ATTRITION_INTERPRETATION, ATTRITION_POINT, STAGE_ENGAGING
 
 
 def attrition(mart: DataFrame) -> DataFrame:
-    """One row: losses, wins, loss rate among closed, unresolved counts, the
-    interpretation, and ``lost_without_engage_date`` -- the count that backs
-    the interpretation's claim (0 when every loss has an engage date)."""
+    """One row: losses, wins, loss rate among closed, unresolved counts and the
+    interpretation (whose claim the check on losses' engage dates backs)."""
     stage = F.col("deal_stage")
     base = mart.agg(
         F.count_if(stage == STAGE_LOST).alias("lost_deals"),
         F.count_if(stage == STAGE_WON).alias("won_deals"),
         F.count_if(stage == STAGE_ENGAGING).alias("unresolved_engaging"),
-        F.count_if(stage == STAGE_PROSPECTING).alias("unresolved_prospecting"),
-        F.count_if((stage == STAGE_LOST) & F.col("engage_date").isNull())
-         .alias("lost_without_engage_date"))
+        F.count_if(stage == STAGE_PROSPECTING).alias("unresolved_prospecting"))
     return base.select(
         F.lit(ATTRITION_POINT).alias("observed_attrition_point"),
         "lost_deals", "won_deals",
         safe_ratio(F.col("lost_deals"), F.col("lost_deals") + F.col("won_deals"))
         .alias("loss_rate_among_closed"),
         "unresolved_engaging", "unresolved_prospecting",
-        F.lit(ATTRITION_INTERPRETATION).alias("interpretation"),
-        "lost_without_engage_date")
+        F.lit(ATTRITION_INTERPRETATION).alias("interpretation"))

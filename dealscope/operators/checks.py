@@ -24,6 +24,13 @@ def _row(name: str, passed: Column, observed: Column) -> Column:
                     observed.cast("string").alias("observed"))
 
 
+def expected_counts(pipeline: DataFrame) -> DataFrame:
+    """One row (rows, wins, losses) from the source fact, before any join can repeat rows."""
+    stage = F.col("deal_stage")
+    return pipeline.agg(F.count(F.lit(1)).alias("rows"), F.count_if(stage == "Won").alias("wins"),
+                        F.count_if(stage == "Lost").alias("losses"))
+
+
 def mart_checks(mart: DataFrame, scores: DataFrame, expected: DataFrame) -> DataFrame:
     """``expected``: one row with ``rows``, ``wins``, ``losses`` computed
     independently from the source tables."""
@@ -33,7 +40,7 @@ def mart_checks(mart: DataFrame, scores: DataFrame, expected: DataFrame) -> Data
         F.count_if(stage == "Won").alias("won"),
         F.count_if(stage == "Lost").alias("lost"),
         F.count_if(stage.isin(*OPEN_STAGES)).alias("open_n"),
-        F.count_if(stage.isNotNull() & ~stage.isin(*STAGES)).alias("unexpected"),
+        F.count_if(F.coalesce(~stage.isin(*STAGES), F.lit(True))).alias("unexpected"),
         *[F.count_if(stage == s).alias(f"has_{i}") for i, s in enumerate(STAGES)],
         F.count_if((stage == "Lost") & F.col("engage_date").isNull()).alias("lost_no_engage"))
     dup = (mart.groupBy("opportunity_id").count()
@@ -93,6 +100,13 @@ def model_checks(metrics: Mapping, model: str | None = None,
     return out
 
 
+def require_models(rows: list[tuple[str, bool, str]]) -> None:
+    """Fail fast on the model checks."""
+    failed = [f"{name} ({observed})" for name, passed, observed in rows if not passed]
+    if failed:
+        raise CheckFailed("; ".join(failed))
+
+
 def require(checks: DataFrame) -> None:
     """Fail fast: collect the (small) failed-check table and raise."""
     failed = checks.filter(~F.col("passed")).collect()

@@ -13,7 +13,7 @@ QUANTILES = (0.25, 0.5, 0.75, 0.9, 0.95)
 TOTAL_LABEL = "All closed"
 
 
-def _quantile_name(q: float) -> str:
+def quantile_name(q: float) -> str:
     return "median_cycle_days" if q == 0.5 else f"p{round(q * 100)}_cycle_days"
 
 
@@ -41,8 +41,8 @@ def cycle_summary(mart: DataFrame, by: str = "deal_stage",
     out = grouped.agg(*aggs)
     outcome = (F.when(F.col("_g") == 1, F.lit(TOTAL_LABEL)).otherwise(F.col(by))
                if total else F.col(by))
-    cols = [outcome.alias("outcome"), "deals", F.round("avg_cycle_days", 6).alias("avg_cycle_days")]
-    cols += [F.round(F.col("_q")[i], 6).alias(_quantile_name(q)) for i, q in enumerate(qs)]
+    cols = [outcome.alias("outcome"), "deals", "avg_cycle_days"]
+    cols += [F.col("_q")[i].alias(quantile_name(q)) for i, q in enumerate(qs)]
     return out.select(*cols).orderBy(F.col("outcome").asc_nulls_last())
 
 

@@ -1,11 +1,10 @@
 """Feature preprocessing fitted on training rows, expressed as Spark ML stages.
 
 Fit (a few aggregation jobs over the training rows; results are constants):
-* most-frequent level per categorical (ties -> smallest): ``mode(c, true)`` for
-  narrow columns, a distributed count + top-1 for wide ones;
-* exact median per numeric (ML ``Imputer`` is approximate): one
-  ``percentile`` pass for low-cardinality columns, a distributed exact
-  quantile for wide ones;
+* most-frequent level per categorical (ties -> smallest): one distributed count over
+  all columns, whatever their width;
+* exact median per numeric (ML ``Imputer`` is approximate): distributed running counts
+  over all columns, whatever their width;
 * mean and *population* std of the imputed numerics (ML ``StandardScaler``
   uses the sample std); a zero std scales by 1.
 
@@ -27,12 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from .ranking import exact_quantiles
 
 FEATURES_COL = "features"
-# Columns with at most this many distinct values (HLL estimate) take the
-# one-pass exact ``percentile`` (its value -> count map stays bounded); wider
-# columns use the distributed exact quantile.
-PERCENTILE_MAX_DISTINCT = 100_000
 
 
 def _sql_str(v) -> str:
@@ -45,66 +41,34 @@ def _sql_num(v) -> str:
     return "CAST(NULL AS DOUBLE)" if v is None else f"CAST({float(v)!r} AS DOUBLE)"
 
 
-def modes(train: DataFrame, cols: Sequence[str] = CATEGORICAL_FEATURES,
-          max_distinct: int = PERCENTILE_MAX_DISTINCT, widths=None) -> dict:
-    """Most frequent non-null value per column (ties -> smallest).  Narrow
-    columns share one ``mode`` pass; a wide column is counted with a
-    distributed group-by and the top row is taken with a top-1 sort, so no task
-    holds every distinct level."""
+def fit_modes(train: DataFrame, cols: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:
+    """One row: most frequent non-null value per column (ties -> smallest).
+
+    All columns are counted by one distributed group-by over (column, value); a second one
+    keeps the best value of each column, so no task holds all levels of a column.
+    """
     cols = list(cols)
-    if not cols:
-        return {}
-    if widths is None:
-        widths = train.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    narrow = [c for c in cols if widths[c] <= max_distinct]
-    out = {}
-    if narrow:
-        row = train.agg(*[F.mode(c, True).alias(c) for c in narrow]).first()
-        out.update({c: row[c] for c in narrow})
-    for c in cols:
-        if c not in out:
-            top = (train.where(F.col(c).isNotNull()).groupBy(c).count()
-                   .orderBy(F.col("count").desc(), F.col(c).asc()).limit(1).collect())
-            out[c] = top[0][c] if top else None
-    return {c: out[c] for c in cols}
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_f"), F.col(c).cast("string").alias("_v"))
+                                for i, c in enumerate(cols)]))
+    counts = (train.select(pairs.alias("p")).select("p.*").where(F.col("_v").isNotNull())
+              .groupBy("_f", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    best = counts.groupBy("_f").agg(F.min(F.struct((-F.col("_c")).alias("_c"), "_v")).alias("best"))
+    return best.agg(*[F.max(F.when(F.col("_f") == i, F.col("best._v"))).alias(c) for i, c in enumerate(cols)])
 
 
-def fit_modes(train: DataFrame, cols: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:
-    """One row: most frequent non-null value per column (ties -> smallest)."""
-    values = modes(train, cols)
-    return train.sparkSession.createDataFrame(
-        [tuple(values[c] for c in cols)], ", ".join(f"`{c}` string" for c in cols))
-
-
-def medians(train: DataFrame, cols: Sequence[str] = NUMERIC_FEATURES,
-            max_distinct: int = PERCENTILE_MAX_DISTINCT, widths=None) -> dict:
-    """Exact median per column.  Low-cardinality columns share one
-    ``percentile`` pass; high-cardinality ones (e.g. revenue at scale) use
-    ``ranking.exact_quantile`` so no task holds every distinct value."""
-    from .ranking import exact_quantile
+def modes(train: DataFrame, cols: Sequence[str] = CATEGORICAL_FEATURES) -> dict:
     cols = list(cols)
-    if not cols:
-        return {}
-    if widths is None:
-        widths = train.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    narrow = [c for c in cols if widths[c] <= max_distinct]
-    out = {}
-    if narrow:
-        row = train.agg(*[F.percentile(F.col(c).cast("double"), 0.5).alias(c)
-                          for c in narrow]).first()
-        out.update({c: row[c] for c in narrow})
-    for c in cols:
-        if c not in out:
-            out[c] = exact_quantile(train, c, 0.5)
-    return {c: out[c] for c in cols}
+    return fit_modes(train, cols).first().asDict() if cols else {}
 
 
 def fit_medians(train: DataFrame, cols: Sequence[str] = NUMERIC_FEATURES) -> DataFrame:
-    """One-row DataFrame of exact medians (see ``medians``)."""
-    values = medians(train, cols)
-    spark = train.sparkSession
-    return spark.createDataFrame([tuple(values[c] for c in cols)],
-                                 ", ".join(f"`{c}` double" for c in cols))
+    """One row of exact medians (see ``ranking.exact_quantiles``)."""
+    return exact_quantiles(train, cols, 0.5)
+
+
+def medians(train: DataFrame, cols: Sequence[str] = NUMERIC_FEATURES) -> dict:
+    cols = list(cols)
+    return fit_medians(train, cols).first().asDict() if cols else {}
 
 
 def impute_exprs(modes: dict, medians: dict) -> list:
@@ -164,10 +128,8 @@ def preprocess_sql(modes: dict, medians: dict, means: dict, stds: dict) -> str:
 
 def fit_features(train: DataFrame, categorical: Sequence[str] = CATEGORICAL_FEATURES,
                  numeric: Sequence[str] = NUMERIC_FEATURES) -> FittedFeatures:
-    cols = list(categorical) + list(numeric)
-    widths = train.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    mode_values = modes(train, categorical, widths=widths)
-    meds = medians(train, numeric, widths=widths)
+    mode_values = modes(train, categorical)
+    meds = medians(train, numeric)
     imputed = train.select(*impute_exprs({}, meds))
     sc = fit_scaling(imputed, numeric).first()
     means = {c: sc[f"{c}__mean"] for c in numeric}

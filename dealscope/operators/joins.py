@@ -1,40 +1,13 @@
-"""Join helpers: size-checked broadcast and validated many-to-one joins."""
+"""Validated many-to-one joins.
+
+No join is forced to broadcast: ``spark.sql.autoBroadcastJoinThreshold`` and adaptive
+execution decide by measured bytes, and split skewed partitions of the preserved side."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when a count proves it has at most this many rows;
-# beyond it the join stays a shuffle join (and AQE may still re-plan it).
-# The session setting ``spark.dealscope.broadcastMaxRows`` overrides it.
-BROADCAST_MAX_ROWS = 200_000
-BROADCAST_MAX_ROWS_CONF = "spark.dealscope.broadcastMaxRows"
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    value = df.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, None)
-    return int(value) if value else BROADCAST_MAX_ROWS
-
-
-def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only if a count proves it has at most ``max_rows`` rows.
-
-    The side is cached while counted (a small side is often an aggregate that
-    should not be computed twice); the count reads at most ``max_rows + 1``
-    rows through a limit.  A large side is uncached again and returned as is,
-    so the join stays a shuffle join that AQE may still re-plan.
-    """
-    if max_rows is None:
-        max_rows = broadcast_limit(df)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(cached)
-    cached.unpersist(blocking=False)
-    return df
-
 
 class DuplicateKeyError(ValueError):
     pass

@@ -7,9 +7,9 @@
   20 rows per leaf.  Spark grows trees depth-wise and has no leaf L2 term, so
   its numbers are its own.
 
-The preprocessing is refitted on the training rows of every fit (as a
-pipeline would), and the fold table is checkpointed once so that the ten CV
-fits do not re-run the mart build.
+The preprocessing is refitted on the training rows of every fold (as a
+pipeline would) and shared by that fold's models; the fold table is
+checkpointed once so that the CV fits do not re-run the mart build.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
@@ -87,29 +88,36 @@ def _auc_value(df: DataFrame, label: str = "target", score: str = "propensity_to
 
 
 def cross_validate(closed: DataFrame, names=MODEL_ORDER, k: int = CV_FOLDS,
-                   label: str = "target", parallelism: int | None = None) -> DataFrame:
+                   label: str = "target", parallelism: int = 2) -> DataFrame:
     """AUC per (model, fold) with stratified folds; returns a small DataFrame.
 
-    The k x models fits are independent Spark jobs and are submitted from
-    ``parallelism`` threads (as ``CrossValidator(parallelism=...)`` does); by
-    default all fits run concurrently (at most 16)."""
+    Each fold fits its preprocessing once and keeps one prepared training frame for all
+    models.  ``parallelism`` folds run at a time (as in ``CrossValidator(parallelism=...)``),
+    so that many prepared frames are held at most."""
     spark = closed.sparkSession
     folded = materialize(splits.with_folds(closed, label=label, k=k))
     sizes = {r["fold"]: r["n"] for r in folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
              .collect()}
     total = sum(sizes.values())
 
-    def one(task):
-        name, i = task
+    def one(i: int) -> list[tuple]:
         train = folded.filter(F.col("fold") != i)
-        test = folded.filter(F.col("fold") == i)
-        m = fit(train, name, label, n_train=total - sizes.get(i, 0))
-        return (name, i, _auc_value(m.score(test), label))
-
-    tasks = [(name, i) for name in names for i in range(k)]
-    workers = parallelism if parallelism else min(len(tasks), 16)
-    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-        rows = list(pool.map(one, tasks))
+        feats = fit_features(train)
+        prepared = feats.transform(train).select(label, FEATURES_COL).persist(StorageLevel.MEMORY_AND_DISK)
+        test = feats.transform(folded.filter(F.col("fold") == i)).select(label, FEATURES_COL)
+        try:
+            out = []
+            for name in names:
+                model = build_models(total - sizes.get(i, 0), label)[name].fit(prepared)
+                scored = model.transform(test).withColumn(
+                    "propensity_to_close", vector_to_array(F.col("probability"))[1])
+                out.append((name, i, _auc_value(scored, label)))
+            return out
+        finally:
+            prepared.unpersist(blocking=False)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = [r for part in pool.map(one, range(k)) for r in part]
     return spark.createDataFrame(rows, "model string, fold int, auc double")
 
 
@@ -131,13 +139,29 @@ def select_model(summary_rows: list, order=MODEL_ORDER) -> str:
 
 
 def evaluate(scored: DataFrame, label: str = "target", score: str = "propensity_to_close") -> dict:
-    out = {"holdout_auc": M.auc(scored, label, score).first()["auc"],
-           "holdout_average_precision":
-               M.average_precision(scored, label, score).first()["average_precision"]}
-    ab = M.accuracy_brier(scored, label, score).first()
-    out["holdout_accuracy_at_0_5"] = ab["accuracy"]
-    out["holdout_brier"] = ab["brier"]
-    return out
+    """Holdout metrics from one by-score table: the test rows are scored once."""
+    m = M.all_metrics(scored, label, score).first()
+    return {"holdout_auc": m["auc"], "holdout_average_precision": m["average_precision"],
+            "holdout_accuracy_at_0_5": m["accuracy"], "holdout_brier": m["brier"]}
+
+
+def prediction_columns(rows: DataFrame, *extra: str, label: str = "target") -> DataFrame:
+    """The holdout predictions' columns."""
+    return rows.select("opportunity_id", "deal_stage", "sales_agent", "product", "account", "close_date",
+                       F.col(label).alias("actual_won"), *extra)
+
+
+def record_counts(mart: DataFrame, cutoff: dt.date | str | None = None, label: str = "target") -> DataFrame:
+    """One row: the metrics' counts that need no model."""
+    closed = splits.with_temporal(splits.closed_with_target(mart), cutoff)
+    total = mart.select(F.count(F.lit(1))).scalar()
+    found = closed.agg(F.count(F.lit(1)).alias("records_closed"), F.sum(label).alias("wins"),
+                       F.count_if(F.col("split") == "train").alias("temporal_train_records"),
+                       F.count_if(F.col("split") == "test").alias("temporal_test_records"))
+    return found.select(total.alias("records_total"), "records_closed", "wins",
+                        (F.col("records_closed") - F.col("wins")).alias("losses"),
+                        F.try_divide(F.col("wins").cast("double"), F.col("records_closed")).alias("closed_win_rate"),
+                        "temporal_train_records", "temporal_test_records")
 
 
 def train_selected(mart: DataFrame, *, cutoff: dt.date | str | None = None,
@@ -164,22 +188,12 @@ def train_selected(mart: DataFrame, *, cutoff: dt.date | str | None = None,
         f_temp = pool.submit(fit, t_train, selected, label)
         model, t_model = f_main.result(), f_temp.result()
     scored = model.score(test)
-    predictions = scored.select(
-        "opportunity_id", "deal_stage", "sales_agent", "product", "account", "close_date",
-        F.col(label).alias("actual_won"), "propensity_to_close")
-
-    counts = closed.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("wins")).first()
+    predictions = prediction_columns(scored, "propensity_to_close", label=label)
     metrics = {
-        "records_total": mart.count(),
-        "records_closed": counts["n"],
-        "wins": counts["wins"],
-        "losses": counts["n"] - counts["wins"],
-        "closed_win_rate": counts["wins"] / counts["n"] if counts["n"] else None,
+        **record_counts(mart, cutoff, label).first().asDict(),
         "selected_model": selected,
         **evaluate(scored, label),
         "temporal_q4_auc": _auc_value(t_model.score(t_test), label),
-        "temporal_train_records": t_train.count(),
-        "temporal_test_records": t_test.count(),
         "cross_validation": {r["model"]: {"cv_auc_mean": r["cv_auc_mean"],
                                           "cv_auc_std": r["cv_auc_std"]} for r in summary},
         "feature_policy": FEATURE_POLICY,

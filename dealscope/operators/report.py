@@ -76,15 +76,13 @@ def prioritized(scores: DataFrame, regions: Sequence[str] | None = None,
 
 
 def deal(scores: DataFrame, opportunity_id=None) -> DataFrame:
-    """Display row for one deal.  Without an id, the highest-risk candidate is
-    chosen (scalar subquery: top-1 by risk, id as tie-break)."""
+    """Display row for one deal.  Without an id, the highest-risk candidate (id as
+    tie-break): the top-1 row of one pass over the scores."""
     if opportunity_id is None:
-        first = (scores.orderBy(F.col("risk_score").desc(), F.col("opportunity_id"))
-                 .limit(1).select("opportunity_id"))
-        key = first.scalar()
+        found = scores.orderBy(F.col("risk_score").desc(), F.col("opportunity_id")).limit(1)
     else:
-        key = F.lit(str(opportunity_id))
-    return (scores.filter(F.col("opportunity_id") == key)
+        found = scores.filter(F.col("opportunity_id") == F.lit(str(opportunity_id)))
+    return (found
             .select("opportunity_id",
                     percent(F.col("propensity_to_close"), 1).alias("propensity_display"),
                     display_or_dash(F.col("days_in_stage").cast("string")).alias("days_display"),

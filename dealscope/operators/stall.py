@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import safe_ratio
 from ..schemas import STAGE_ENGAGING, STALL_QUANTILE, STALL_THRESHOLD
-from .joins import checked_broadcast
 
 SEGMENT_KEYS = ("product", "regional_office")
 NORM = "historical_stage_norm_days"
@@ -44,11 +43,11 @@ def stalled_deals(mart: DataFrame, *, threshold: float = STALL_THRESHOLD,
     ``fallback=None`` (strict): NULL segment keys never match, a missing or
     zero norm leaves ratio and flag NULL.  ``fallback="overall"``: keys match
     null-safely, a missing norm takes the overall quantile, and an unknown
-    flag is false.  The norms table (one row per segment) is broadcast only
-    after a count proves it small.
+    flag is false.  The norms table has one row per segment; adaptive execution
+    broadcasts it if its measured bytes are few.
     """
     engaging = mart.filter(F.col("deal_stage") == STAGE_ENGAGING).select(*STALLED_COLUMNS)
-    norms = checked_broadcast(segment_norms(mart, keys, quantile))
+    norms = segment_norms(mart, keys, quantile)
     if fallback is None:
         scored = engaging.join(norms, list(keys), "left")
         norm = F.col(NORM)
@@ -73,13 +72,18 @@ def stalled_deals(mart: DataFrame, *, threshold: float = STALL_THRESHOLD,
             .withColumn("stalled", flag))
 
 
+def worst_first(stalled: DataFrame) -> DataFrame:
+    """The derived table's order: highest ratio first, unknown ratios last, then by id."""
+    return stalled.orderBy(F.col("stall_ratio").desc_nulls_last(), F.col("opportunity_id"))
+
+
 def attach_stall(deals: DataFrame, mart: DataFrame, *, threshold: float = STALL_THRESHOLD,
                  quantile: float = STALL_QUANTILE, keys=SEGMENT_KEYS) -> DataFrame:
     """Add norm, ratio and flag (fallback semantics) to any set of deals in one
     pass: Engaging rows get their segment norm (overall quantile when the
     segment has none), other stages keep NULL norm and ratio and a false flag.
     This replaces a join of the deals with the stalled-deal table on id."""
-    norms = checked_broadcast(segment_norms(mart, keys, quantile))
+    norms = segment_norms(mart, keys, quantile)
     n = norms.select(*[F.col(k).alias(f"_n_{k}") for k in keys], F.col(NORM).alias("_norm"))
     cond = None
     for k in keys:

@@ -34,15 +34,15 @@ def win_rate(mart: DataFrame, keys: Sequence[str | Column], *, min_closed: int =
 def win_rate_by_rep(mart: DataFrame, min_closed: int = MIN_REP_SUPPORT) -> DataFrame:
     revenue = F.sum(F.when(F.col("won") == 1, F.col("close_value")).otherwise(F.lit(0.0)))
     return win_rate(mart, ["sales_agent", "manager", "regional_office"], min_closed=min_closed,
-                    extra=[F.round(revenue, 2).alias("won_revenue")])
+                    extra=[revenue.alias("won_revenue")])
 
 
 def win_rate_by_segment(mart: DataFrame) -> DataFrame:
     return win_rate(mart, [F.coalesce(F.col("sector"), F.lit("Unknown")).alias("sector")],
-                    extra=[F.round(F.avg("sales_price"), 6).alias("avg_list_price")])
+                    extra=[F.avg("sales_price").alias("avg_list_price")])
 
 
 def win_rate_by_product(mart: DataFrame) -> DataFrame:
     won_value = F.avg(F.when(F.col("won") == 1, F.col("close_value")))
     return win_rate(mart, ["product", "series"],
-                    extra=[F.round(won_value, 6).alias("avg_won_value")])
+                    extra=[won_value.alias("avg_won_value")])

@@ -7,170 +7,136 @@ from pyspark.sql import functions as F
 from ..functions.text import deal_prompt
 from ..operators import attrition as attrition_ops
 from ..operators import cycle, funnel, report, scoring, winrate
+from ..schemas import (ATTRITION_INTERPRETATION, ATTRITION_POINT, CYCLE_EDGES, CYCLE_LABELS,
+                       DEFAULT_PRODUCT_TEXT, DEFAULT_REP_TEXT, FUNNEL_COUNT_LABELS, FUNNEL_STEPS,
+                       MIN_REP_SUPPORT, OPEN_STAGES, PROMPT_PREFIX, RISK_PROPENSITY_WEIGHT,
+                       RISK_RATIO_CAP, RISK_STALL_WEIGHT, SEED, SEVERITY_ABOVE, SEVERITY_NEAR,
+                       SEVERITY_WELL_BEYOND, STALL_RULE_TEXT, STALL_THRESHOLD)
 from . import oracle as O
-from .queries import _NORMS_SQL, DRIVER_SECTOR_RECODES, load_mart, register
+from .queries import DRIVER_SECTOR_RECODES, load_mart, register
+
+
+def _rounded(df, digits: int, *cols: str):
+    """Doubles that both engines sum in an order of their own, rounded for comparison."""
+    return df.withColumns({c: F.round(c, digits) for c in cols})
 
 
 # ---------------------------------------------------------------- funnel
-def _counts_sql(extra: str = "") -> str:
-    return """
-counts AS (
-    SELECT COUNT(*) AS total,
-           COUNT(*) FILTER (WHERE deal_stage <> 'Prospecting') AS reached,
-           COUNT(*) FILTER (WHERE deal_stage IN ('Won', 'Lost')) AS closed,
-           COUNT(*) FILTER (WHERE deal_stage = 'Won') AS won,
-           COUNT(*) FILTER (WHERE deal_stage = 'Lost') AS lost,
-           COUNT(*) FILTER (WHERE deal_stage = 'Engaging') AS engaging,
-           COUNT(*) FILTER (WHERE deal_stage = 'Prospecting') AS prospecting
-    FROM mart
-)""" + extra
-
-
-_FUNNEL_BODY = """
-SELECT 1 AS stage_order, 'Prospecting → Engaging/reached' AS transition, total AS denominator,
-       reached AS numerator, CAST(reached AS DOUBLE) / NULLIF(total, 0) AS conversion_rate FROM counts
-UNION ALL
-SELECT 2, 'Engaging/reached → Closed', reached, closed, CAST(closed AS DOUBLE) / NULLIF(reached, 0) FROM counts
-UNION ALL
-SELECT 3, 'Engaging/reached → Won', reached, won, CAST(won AS DOUBLE) / NULLIF(reached, 0) FROM counts
-UNION ALL
-SELECT 4, 'Closed → Won', closed, won, CAST(won AS DOUBLE) / NULLIF(closed, 0) FROM counts"""
+_FUNNEL = f"""
+SELECT stage_order, transition, below.deals AS denominator, above.deals AS numerator,
+       above.deals / nullif(below.deals, 0)::DOUBLE AS conversion_rate
+FROM {O.values(FUNNEL_STEPS, "stage_order, transition, den, num")}
+JOIN tally AS below ON below.point = den JOIN tally AS above ON above.point = num"""
 
 
-@register("funnel_conversion", O.with_mart_and(_counts_sql(), _FUNNEL_BODY))
+@register("funnel_conversion", O.with_mart_and(O.TALLY, _FUNNEL))
 def q_funnel(spark, d):
     return funnel.funnel_conversion(load_mart(spark, d))
 
 
-@register("funnel_counts", O.with_mart_and(_counts_sql(), """
-SELECT 1 AS step, 'All opportunities' AS stage, total AS deals FROM counts
-UNION ALL SELECT 2, 'Reached Engaging', reached FROM counts
-UNION ALL SELECT 3, 'Closed', closed FROM counts
-UNION ALL SELECT 4, 'Won', won FROM counts"""))
+@register("funnel_counts", O.with_mart_and(O.TALLY, f"""
+SELECT step, stage, deals FROM tally
+JOIN {O.values([(k + 1, label, point) for k, (label, point) in
+                enumerate(zip(FUNNEL_COUNT_LABELS, ("total", "reached", "closed", "won")))], "step, stage, spot")}
+  ON spot = point"""))
 def q_funnel_counts(spark, d):
     return funnel.funnel_counts(load_mart(spark, d))
 
 
 # ---------------------------------------------------------------- win rates
-@register("win_rate_by_rep", O.with_mart("""
-SELECT sales_agent, manager, regional_office, COUNT(*) AS closed_deals,
-       CAST(SUM(won) AS BIGINT) AS won_deals, AVG(won) AS win_rate,
-       ROUND(SUM(CASE WHEN won = 1 THEN close_value ELSE 0 END), 2) AS won_revenue
-FROM mart WHERE is_closed = 1
-GROUP BY ALL HAVING COUNT(*) >= 25"""))
+def _win_sql(keys: str, extra: str, having: str = "", **kw) -> str:
+    return O.with_mart(f"""
+SELECT {keys}, count(*) AS closed_deals, sum(won)::BIGINT AS won_deals, avg(won) AS win_rate, {extra}
+FROM mart WHERE is_closed = 1 GROUP BY ALL {having}""", **kw)
+
+
+@register("win_rate_by_rep", _win_sql("sales_agent, manager, regional_office",
+                                      "round(coalesce(sum(close_value) FILTER (won = 1), 0), 2) AS won_revenue",
+                                      f"HAVING count(*) >= {MIN_REP_SUPPORT}"))
 def q_win_rep(spark, d):
-    return winrate.win_rate_by_rep(load_mart(spark, d))
+    return _rounded(winrate.win_rate_by_rep(load_mart(spark, d)), 2, "won_revenue")
 
 
-@register("win_rate_by_segment", O.with_mart("""
-SELECT COALESCE(sector, 'Unknown') AS sector, COUNT(*) AS closed_deals,
-       CAST(SUM(won) AS BIGINT) AS won_deals, AVG(won) AS win_rate,
-       ROUND(AVG(sales_price), 6) AS avg_list_price
-FROM mart WHERE is_closed = 1 GROUP BY 1""", sector_recodes=DRIVER_SECTOR_RECODES))
+@register("win_rate_by_segment", _win_sql("ifnull(sector, 'Unknown') AS sector", "round(avg(sales_price), 6) AS avg_list_price",
+                                          sector_recodes=DRIVER_SECTOR_RECODES))
 def q_win_segment(spark, d):
-    return winrate.win_rate_by_segment(load_mart(spark, d, sector_recodes=DRIVER_SECTOR_RECODES))
+    return _rounded(winrate.win_rate_by_segment(load_mart(spark, d, sector_recodes=DRIVER_SECTOR_RECODES)), 6, "avg_list_price")
 
 
-@register("win_rate_by_product", O.with_mart("""
-SELECT product, series, COUNT(*) AS closed_deals, CAST(SUM(won) AS BIGINT) AS won_deals,
-       AVG(won) AS win_rate, ROUND(AVG(close_value) FILTER (WHERE won = 1), 6) AS avg_won_value
-FROM mart WHERE is_closed = 1 GROUP BY ALL"""))
+@register("win_rate_by_product", _win_sql("product, series", "round(avg(if(won = 1, close_value, NULL)), 6) AS avg_won_value"))
 def q_win_product(spark, d):
-    return winrate.win_rate_by_product(load_mart(spark, d))
+    return _rounded(winrate.win_rate_by_product(load_mart(spark, d)), 6, "avg_won_value")
 
 
 # ---------------------------------------------------------------- cycle
-_CYCLE_AGGS = """COUNT(*) AS deals, ROUND(AVG(cycle_days), 6) AS avg_cycle_days,
-       ROUND(quantile_cont(cycle_days, 0.25), 6) AS p25_cycle_days,
-       ROUND(MEDIAN(cycle_days), 6) AS median_cycle_days,
-       ROUND(quantile_cont(cycle_days, 0.75), 6) AS p75_cycle_days,
-       ROUND(quantile_cont(cycle_days, 0.90), 6) AS p90_cycle_days,
-       ROUND(quantile_cont(cycle_days, 0.95), 6) AS p95_cycle_days"""
+_CYCLE_NAMES = ("avg_cycle_days", *map(cycle.quantile_name, cycle.QUANTILES))
 
 
-@register("cycle_summary", O.with_mart(f"""
-SELECT deal_stage AS outcome, {_CYCLE_AGGS}
-FROM mart WHERE is_closed = 1 GROUP BY deal_stage"""))
+def _cycle_sql(outcome: str, grouping: str) -> str:
+    quantiles = ", ".join(f"round(q[{k + 1}], 6) AS {cycle.quantile_name(x)}" for k, x in enumerate(cycle.QUANTILES))
+    return O.with_mart(f"""
+SELECT outcome, deals, round(mean, 6) AS avg_cycle_days, {quantiles}
+FROM (SELECT {outcome} AS outcome, count(*) AS deals, avg(cycle_days) AS mean,
+             quantile_cont(cycle_days, {list(cycle.QUANTILES)}) AS q
+      FROM mart WHERE is_closed = 1 GROUP BY {grouping})""")
+
+
+@register("cycle_summary", _cycle_sql("deal_stage", "deal_stage"))
 def q_cycle(spark, d):
-    return cycle.cycle_summary(load_mart(spark, d))
+    return _rounded(cycle.cycle_summary(load_mart(spark, d)), 6, *_CYCLE_NAMES)
 
 
-@register("cycle_summary_rollup", O.with_mart(f"""
-SELECT CASE WHEN GROUPING(deal_stage) = 1 THEN 'All closed' ELSE deal_stage END AS outcome,
-       {_CYCLE_AGGS}
-FROM mart WHERE is_closed = 1 GROUP BY ROLLUP (deal_stage)"""))
+@register("cycle_summary_rollup", _cycle_sql(f"if(grouping(deal_stage) = 1, {O.text(cycle.TOTAL_LABEL)}, deal_stage)",
+                                             "ROLLUP (deal_stage)"))
 def q_cycle_rollup(spark, d):
-    return cycle.cycle_summary(load_mart(spark, d), total=True)
+    return _rounded(cycle.cycle_summary(load_mart(spark, d), total=True), 6, *_CYCLE_NAMES)
 
 
-@register("cycle_distribution", O.with_mart("""
-SELECT CASE WHEN cycle_days <= 30 THEN '0–30 days'
-            WHEN cycle_days <= 60 THEN '31–60 days'
-            WHEN cycle_days <= 90 THEN '61–90 days'
-            WHEN cycle_days <= 120 THEN '91–120 days'
-            ELSE '121+ days' END AS cycle_bucket,
-       COUNT(*) AS deals, AVG(won) AS win_rate
-FROM mart WHERE is_closed = 1 GROUP BY 1"""))
+@register("cycle_distribution", O.with_mart(f"""
+SELECT ({list(CYCLE_LABELS)})[1 + if(cycle_days IS NULL, {len(CYCLE_EDGES)},
+           len(list_filter({list(CYCLE_EDGES)}, lambda edge: edge < cycle_days)))] AS cycle_bucket,
+       count(*) AS deals, avg(won) AS win_rate
+FROM mart WHERE is_closed = 1 GROUP BY ALL"""))
 def q_cycle_dist(spark, d):
     return cycle.cycle_distribution(load_mart(spark, d))
 
 
 # ---------------------------------------------------------------- attrition
-@register("attrition", O.with_mart_and(_counts_sql(), """
-SELECT 'Post-engagement / close decision' AS observed_attrition_point,
-       lost AS lost_deals, won AS won_deals,
-       CAST(lost AS DOUBLE) / NULLIF(lost + won, 0) AS loss_rate_among_closed,
-       engaging AS unresolved_engaging, prospecting AS unresolved_prospecting,
-       'The source has no full stage-event log; all closed losses have an engage_date, so attrition can only be located after engagement rather than assigned to invented intermediate stages.' AS interpretation,
-       (SELECT COUNT(*) FROM mart WHERE deal_stage = 'Lost' AND engage_date IS NULL) AS lost_without_engage_date
-FROM counts"""))
+@register("attrition", O.with_mart_and(O.BY_STAGE, f"""
+SELECT {O.text(ATTRITION_POINT)} AS observed_attrition_point, {O.in_stage('Lost')} AS lost_deals, {O.in_stage('Won')} AS won_deals,
+       lost_deals / nullif(lost_deals + won_deals, 0)::DOUBLE AS loss_rate_among_closed,
+       {O.in_stage('Engaging')} AS unresolved_engaging, {O.in_stage('Prospecting')} AS unresolved_prospecting,
+       {O.text(ATTRITION_INTERPRETATION)} AS interpretation
+FROM by_stage"""))
 def q_attrition(spark, d):
     return attrition_ops.attrition(load_mart(spark, d))
 
 
 # ---------------------------------------------------------------- scoring (stand-in score)
-SCORES_CTES = """
-fb_norms AS (
-    SELECT product, regional_office, quantile_cont(cycle_days, 0.75) AS norm
-    FROM mart WHERE is_closed = 1 AND cycle_days IS NOT NULL GROUP BY product, regional_office
-),
-fb_overall AS (
-    SELECT quantile_cont(cycle_days, 0.75) AS norm
-    FROM mart WHERE is_closed = 1 AND cycle_days IS NOT NULL
-),
-opn AS (
-    SELECT m.*,
-           CAST(('0x' || substr(md5(m.opportunity_id || '-42'), 1, 8))::BIGINT % 1000 AS DOUBLE) / 1000.0
-               AS propensity_to_close,
-           CASE WHEN m.deal_stage = 'Engaging'
-                THEN COALESCE(n.norm, (SELECT norm FROM fb_overall)) END AS historical_stage_norm_days
-    FROM mart m
-    LEFT JOIN fb_norms n ON m.product IS NOT DISTINCT FROM n.product
-                        AND m.regional_office IS NOT DISTINCT FROM n.regional_office
-    WHERE m.deal_stage IN ('Prospecting', 'Engaging')
-),
-opn_ratio AS (
-    SELECT *, CASE WHEN deal_stage = 'Engaging'
-                   THEN CAST(days_in_stage AS DOUBLE) / NULLIF(historical_stage_norm_days, 0) END AS stall_ratio
-    FROM opn
-),
+def _whole(column: str) -> str:
+    return f"trunc(coalesce({column}, 0)::DOUBLE)::BIGINT"
+
+
+_SUMMARY_PARTS = (
+    f"coalesce(sales_agent, {O.text(DEFAULT_REP_TEXT)})", O.text("'s "), f"coalesce(product, {O.text(DEFAULT_PRODUCT_TEXT)})",
+    O.text(" opportunity has a "), "printf('%.0f', propensity_to_close * 100)", O.text("% close propensity and has spent "),
+    _whole("days_in_stage"), O.text(" days in Engaging, "),
+    f"({[SEVERITY_NEAR, SEVERITY_ABOVE, SEVERITY_WELL_BEYOND]})[1 + (ifnull(stall_ratio, 0) >= 2)::INT + (ifnull(stall_ratio, 0) >= 3)::INT]",
+    O.text(" the "), _whole("historical_stage_norm_days"),
+    O.text("-day historical norm; prioritize a next-step check before forecast review."))
+
+SCORES_CTES = O.AGED + f""",
 scores AS (
-    SELECT opportunity_id, sales_agent, manager, regional_office, product, account, deal_stage,
-           engage_date, propensity_to_close, days_in_stage, historical_stage_norm_days, stall_ratio,
-           COALESCE(stall_ratio >= 2.0, false) AS stalled,
-           (1.0 - propensity_to_close) * 0.65
-             + (LEAST(GREATEST(COALESCE(stall_ratio, 0.0), 0.0), 4.0) / 4.0) * 0.35 AS risk_score,
-           COALESCE(sales_agent, 'the assigned rep') || '''s ' || COALESCE(product, 'this product')
-             || ' opportunity has a ' || printf('%.0f', propensity_to_close * 100)
-             || '% close propensity and has spent '
-             || CAST(CAST(trunc(COALESCE(CAST(days_in_stage AS DOUBLE), 0)) AS BIGINT) AS VARCHAR)
-             || ' days in Engaging, '
-             || CASE WHEN COALESCE(stall_ratio, 0) >= 3 THEN 'well beyond'
-                     WHEN COALESCE(stall_ratio, 0) >= 2 THEN 'above' ELSE 'near' END
-             || ' the ' || CAST(CAST(trunc(COALESCE(historical_stage_norm_days, 0)) AS BIGINT) AS VARCHAR)
-             || '-day historical norm; prioritize a next-step check before forecast review.'
-             AS deal_summary
-    FROM opn_ratio
+    SELECT opportunity_id, sales_agent, manager, regional_office, product, account, deal_stage, engage_date,
+           (('0x' || md5(opportunity_id || '-{SEED}')[:8])::BIGINT % 1000)::DOUBLE / 1000.0::DOUBLE AS propensity_to_close,
+           days_in_stage, if(deal_stage = 'Engaging', coalesce(segment, everywhere), NULL) AS historical_stage_norm_days,
+           days_in_stage / nullif(historical_stage_norm_days, 0)::DOUBLE AS stall_ratio,
+           ifnull(stall_ratio >= {STALL_THRESHOLD}, false) AS stalled,
+           (1.0::DOUBLE - propensity_to_close) * {RISK_PROPENSITY_WEIGHT}::DOUBLE
+             + greatest(least(ifnull(stall_ratio, 0.0::DOUBLE), {RISK_RATIO_CAP}::DOUBLE), 0.0::DOUBLE)
+               / {RISK_RATIO_CAP}::DOUBLE * {RISK_STALL_WEIGHT}::DOUBLE AS risk_score,
+           concat({', '.join(_SUMMARY_PARTS)}) AS deal_summary
+    FROM aged WHERE deal_stage IN {OPEN_STAGES}
 )"""
 
 
@@ -193,19 +159,17 @@ def q_summary(spark, d):
     return load_scores(spark, d).select("opportunity_id", "deal_summary")
 
 
-@register("prompt_text", O.with_mart_and(SCORES_CTES, """
+_PROMPT_FACTS = (
+    ("opportunity", "ifnull(opportunity_id, 'None')"), ("rep", "ifnull(sales_agent, 'None')"),
+    ("product", "ifnull(product, 'None')"), ("account", "ifnull(account, 'None')"),
+    ("close_propensity", "printf('%.3f', propensity_to_close)"), ("days_in_engaging", _whole("days_in_stage")),
+    ("historical_norm_days", _whole("historical_stage_norm_days")), ("stall_ratio", "printf('%.2f', stall_ratio)"))
+
+
+@register("prompt_text", O.with_mart_and(SCORES_CTES, f"""
 SELECT opportunity_id,
-       CASE WHEN propensity_to_close IS NOT NULL AND days_in_stage IS NOT NULL
-                 AND historical_stage_norm_days IS NOT NULL AND stall_ratio IS NOT NULL THEN
-       'Write exactly one sentence for a sales rep. Be factual, concise, and action-oriented. Do not claim causality. Deal facts: '
-         || 'opportunity=' || COALESCE(opportunity_id, 'None')
-         || '; rep=' || COALESCE(sales_agent, 'None')
-         || '; product=' || COALESCE(product, 'None')
-         || '; account=' || COALESCE(account, 'None')
-         || '; close_propensity=' || printf('%.3f', propensity_to_close)
-         || '; days_in_engaging=' || CAST(CAST(trunc(CAST(days_in_stage AS DOUBLE)) AS BIGINT) AS VARCHAR)
-         || '; historical_norm_days=' || CAST(CAST(trunc(historical_stage_norm_days) AS BIGINT) AS VARCHAR)
-         || '; stall_ratio=' || printf('%.2f', stall_ratio) || '.' END AS prompt
+       if(propensity_to_close + days_in_stage + historical_stage_norm_days + stall_ratio IS NULL, NULL,
+          {O.text(PROMPT_PREFIX)} || concat_ws('; ', {', '.join(f"'{k}=' || {v}" for k, v in _PROMPT_FACTS)}) || '.') AS prompt
 FROM scores"""))
 def q_prompt(spark, d):
     return load_scores(spark, d).select(
@@ -253,35 +217,24 @@ def q_regions(spark, d):
     return report.options(load_scores(spark, d), "regional_office")
 
 
-@register("portfolio_metrics", O.with_mart_and(_counts_sql() + "," + SCORES_CTES, """
-SELECT total AS records_total, closed AS records_closed, won AS wins, lost AS losses,
-       CAST(won AS DOUBLE) / NULLIF(closed, 0) AS closed_win_rate,
-       (SELECT COUNT(*) FROM scores) AS open_deals,
-       (SELECT COUNT(*) FROM scores WHERE deal_stage = 'Engaging') AS open_engaging_deals,
-       (SELECT COUNT(*) FROM scores WHERE stalled) AS stalled_deals
-FROM counts"""))
+@register("portfolio_metrics", O.with_mart_and(SCORES_CTES + "," + O.BY_STAGE, f"""
+SELECT (SELECT count(*) FROM mart) AS records_total, {O.in_stage('Won')} AS wins, {O.in_stage('Lost')} AS losses,
+       wins + losses AS records_closed, wins / nullif(wins + losses, 0)::DOUBLE AS closed_win_rate,
+       found.*
+FROM by_stage, (SELECT count(*) AS open_deals, count_if(deal_stage = 'Engaging')::BIGINT AS open_engaging_deals,
+                       count_if(stalled)::BIGINT AS stalled_deals FROM scores) AS found"""))
 def q_portfolio(spark, d):
     mart = load_mart(spark, d)
     return report.portfolio_metrics(mart, scoring.score_open_standin(mart))
 
 
-@register("key_findings", O.with_mart_and(_counts_sql() + "," + _NORMS_SQL + """,
-conv AS (""" + _FUNNEL_BODY + """),
-flag AS (
-    SELECT COUNT(*) FILTER (WHERE CAST(o.days_in_stage AS DOUBLE)
-                                  / NULLIF(n.historical_stage_norm_days, 0) >= 2.0) AS flagged
-    FROM mart o LEFT JOIN norms n ON o.product = n.product AND o.regional_office = n.regional_office
-    WHERE o.deal_stage = 'Engaging'
-)""", """
+@register("key_findings", O.with_mart_and(O.TALLY + "," + O.AGED + "," + O.BY_STAGE, f"""
 SELECT transition AS finding, printf('%.1f', conversion_rate * 100) || '%' AS value,
-       format('{:,}', numerator) || ' of ' || format('{:,}', denominator) || ' opportunities' AS detail
-FROM conv
+       format('{{:,}} of {{:,}} opportunities', numerator, denominator) AS detail
+FROM ({_FUNNEL})
 UNION ALL
-SELECT 'Observed attrition point', 'Post-engagement / close decision',
-       format('{:,}', lost) || ' recorded losses'
-FROM counts
+SELECT 'Observed attrition point', {O.text(ATTRITION_POINT)}, format('{{:,}} recorded losses', {O.in_stage('Lost')}) FROM by_stage
 UNION ALL
-SELECT 'Stalled engaging deals', format('{:,}', flagged), '2× product+region P75 duration rule'
-FROM flag"""))
+SELECT 'Stalled engaging deals', format('{{:,}}', count_if(stalled)::BIGINT), {O.text(STALL_RULE_TEXT)} FROM ({O.stalled('strict')})"""))
 def q_findings(spark, d):
     return report.key_findings(load_mart(spark, d))

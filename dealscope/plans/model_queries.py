@@ -154,7 +154,8 @@ cum AS (
 SELECT ROUND(SUM(pos * (cum_pos / (cum_pos + cum_neg))) / NULLIF(SUM(pos), 0), 10) AS average_precision
 FROM cum"""))
 def q_ap(spark, d):
-    return metrics.average_precision(_scored_test(spark, d), "target", "score")
+    found = metrics.average_precision(_scored_test(spark, d), "target", "score")
+    return found.select(F.round("average_precision", 10).alias("average_precision"))
 
 
 @register("accuracy_brier", O.with_mart_and(_PREP_CTES, """
@@ -163,7 +164,8 @@ SELECT AVG(CASE WHEN (CASE WHEN score >= 0.5 THEN 1 ELSE 0 END) = target
        ROUND(AVG((score - target) * (score - target)), 10) AS brier
 FROM scored"""))
 def q_acc_brier(spark, d):
-    return metrics.accuracy_brier(_scored_test(spark, d), "target", "score")
+    found = metrics.accuracy_brier(_scored_test(spark, d), "target", "score")
+    return found.select("accuracy", F.round("brier", 10).alias("brier"))
 
 
 # ---------------------------------------------------------------- preprocessing
@@ -287,8 +289,8 @@ m AS (
            COUNT(*) FILTER (WHERE deal_stage = 'Won') AS won,
            COUNT(*) FILTER (WHERE deal_stage = 'Lost') AS lost,
            COUNT(*) FILTER (WHERE deal_stage IN ('Prospecting', 'Engaging')) AS open_n,
-           COUNT(*) FILTER (WHERE deal_stage IS NOT NULL
-                            AND deal_stage NOT IN ('Prospecting', 'Engaging', 'Won', 'Lost')) AS unexpected,
+           COUNT(*) FILTER (WHERE deal_stage IS NULL
+                            OR deal_stage NOT IN ('Prospecting', 'Engaging', 'Won', 'Lost')) AS unexpected,
            (CASE WHEN COUNT(*) FILTER (WHERE deal_stage = 'Prospecting') = 0 THEN 1 ELSE 0 END
             + CASE WHEN COUNT(*) FILTER (WHERE deal_stage = 'Engaging') = 0 THEN 1 ELSE 0 END
             + CASE WHEN COUNT(*) FILTER (WHERE deal_stage = 'Won') = 0 THEN 1 ELSE 0 END
@@ -320,16 +322,26 @@ def q_checks(spark, d):
     return checks.mart_checks(mart, scores, _expected(spark, d))
 
 
-# ---------------------------------------------------------------- fitted models (rows-only)
+# ---------------------------------------------------------------- fitted models
+# Learned numbers are rows-only; what does not depend on them has an oracle of its own.
 def _train_split(spark, d):
     from ..session import materialize
     mart = materialize(load_mart(spark, d))
-    closed = materialize(models.model_frame(mart))
-    split = materialize(splits.with_holdout(closed))
+    split = materialize(splits.with_holdout(models.model_frame(mart)))
     return mart, split
 
 
-@register("feature_names")
+def _names_sql() -> str:
+    """Sorted levels of the training rows per categorical (the mode stands in for NULL), then the numerics."""
+    levels = " UNION ALL ".join(
+        f"SELECT {k} AS block, {c} AS level, 'cat__{c}_' || {c} AS feature FROM split WHERE split = 'train' AND {c} IS NOT NULL GROUP BY ALL"
+        for k, c in enumerate(_CAT))
+    numbers = " UNION ALL ".join(f"SELECT {len(_CAT) + k}, '', 'num__{c}'" for k, c in enumerate(_NUM))
+    return O.with_mart_and(_PREP_CTES, f"""
+SELECT (row_number() OVER (ORDER BY block, level) - 1)::INTEGER AS position, feature FROM ({levels} UNION ALL {numbers})""")
+
+
+@register("feature_names", _names_sql())
 def q_feature_names(spark, d):
     from ..sources.sinks import feature_names_frame
     _, split = _train_split(spark, d)
@@ -337,6 +349,34 @@ def q_feature_names(spark, d):
     return feature_names_frame(spark, feats.feature_names())
 
 
+@register("fold_sizes", O.with_mart_and(_PREP_CTES, """
+SELECT (rk % 5)::INTEGER AS fold, target, count(*) AS deals FROM ranked GROUP BY ALL"""))
+def q_fold_sizes(spark, d):
+    folded = splits.with_folds(splits.closed_with_target(load_mart(spark, d)))
+    return folded.groupBy("fold", "target").agg(F.count(F.lit(1)).alias("deals"))
+
+
+@register("model_counts", O.with_mart_and(_PREP_CTES + """,
+cut AS (SELECT DATE '1970-01-01' + CAST(floor(quantile_cont(
+            date_diff('day', DATE '1970-01-01', close_date), 0.75)) AS INTEGER) AS d FROM closed)""", """
+SELECT (SELECT count(*) FROM mart) AS records_total, count(*) AS records_closed, sum(target)::BIGINT AS wins,
+       count(*) - wins AS losses, wins / count(*)::DOUBLE AS closed_win_rate,
+       count_if(close_date < (SELECT d FROM cut))::BIGINT AS temporal_train_records,
+       count_if(close_date >= (SELECT d FROM cut))::BIGINT AS temporal_test_records
+FROM closed"""))
+def q_model_counts(spark, d):
+    return models.record_counts(load_mart(spark, d))
+
+
+@register("holdout_labels", O.with_mart_and(_PREP_CTES, """
+SELECT opportunity_id, deal_stage, sales_agent, product, account, close_date, target AS actual_won
+FROM split WHERE split = 'test'"""))
+def q_holdout_labels(spark, d):
+    """The holdout predictions' table without the learned column."""
+    _, closed = _prepared(spark, d)
+    return models.prediction_columns(closed.filter(F.col("split") == "test"))
+
+
 @register("cv_summary")
 def q_cv_summary(spark, d):
     from ..session import materialize
@@ -349,9 +389,7 @@ def q_holdout_predictions(spark, d):
     _, split = _train_split(spark, d)
     model = models.fit(split.filter(F.col("split") == "train"), models.LOGISTIC)
     test = split.filter(F.col("split") == "test")
-    return model.score(test).select(
-        "opportunity_id", "deal_stage", "sales_agent", "product", "account", "close_date",
-        F.col("target").alias("actual_won"), "propensity_to_close")
+    return models.prediction_columns(model.score(test), "propensity_to_close")
 
 
 @register("fit_and_score")

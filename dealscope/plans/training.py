@@ -10,12 +10,10 @@ from ..operators import explain as explain_ops
 from ..operators import models, scoring
 from ..operators.mart import engagement_features
 from ..operators.splits import with_holdout
-from ..schemas import STAGE_ENGAGING, TOP_K_CONTRIBUTIONS, TOP_RISK_N
+from ..schemas import STAGE_ENGAGING, STALL_RULE, TOP_K_CONTRIBUTIONS, TOP_RISK_N
 from ..session import materialize
 from ..sources.sinks import save_bundle, write_metrics, write_table
 
-STALL_RULE = "Engaging days >= 2.0 × historical product+region P75 close-cycle duration"
-
 
 def score_with_model(model, mart: DataFrame) -> DataFrame:
     """The 15-column score table for all open deals."""

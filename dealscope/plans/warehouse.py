@@ -23,7 +23,7 @@ ANALYSES = (
     ("sales_cycle_summary", cycle.cycle_summary),
     ("sales_cycle_distribution", cycle.cycle_distribution),
     ("attrition_diagnostics", attrition.attrition),
-    ("stalled_deals", stall.stalled_deals),
+    ("stalled_deals", lambda mart: stall.worst_first(stall.stalled_deals(mart))),
 )
 
 

@@ -3,25 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schemas import SOURCE_SCHEMAS
 
 
-def read_source(spark: SparkSession, name: str, path: str, fmt: str = "csv") -> DataFrame:
+class MissingColumnError(ValueError):
+    pass
+
+
+def read_source(spark: SparkSession, name: str, path: str, fmt: str = "csv", multi_line: bool = True) -> DataFrame:
     """Read one source table.
 
-    CSV is read with an explicit all-string schema and header; typing happens
-    in the mart with ``try_cast`` so that a bad value becomes NULL instead of
-    failing the job.  Only the empty string is read as NULL (the reference
-    reader's default); texts such as ``NA`` stay values.
+    CSV columns are matched by the header's names, in any order; a missing one fails.
+    Everything is read as text; typing happens in the mart, where a bad value becomes NULL
+    instead of failing the job.  Quotes inside a quoted field are doubled, and a quoted field
+    may hold line breaks.  ``multi_line=False`` gives up the latter, which lets Spark split
+    large files among tasks.  Only the empty string is read as NULL; ``NA`` stays a value.
     """
     if fmt == "csv":
-        schema = SOURCE_SCHEMAS[name]
-        return (spark.read.schema(schema)
-                .option("header", True)
-                .option("mode", "PERMISSIVE")
-                .option("nullValue", "")
-                .csv(path))
+        found = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
+                 .option("mode", "PERMISSIVE").option("nullValue", "").option("quote", '"').option("escape", '"')
+                 .option("multiLine", multi_line).csv(path))
+        missing = [f.name for f in SOURCE_SCHEMAS[name] if f.name not in found.columns]
+        if missing:
+            raise MissingColumnError(f"{name}: no column {', '.join(missing)} in {path}")
+        return found.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in SOURCE_SCHEMAS[name]])
     if fmt == "parquet":
         return spark.read.parquet(path)
     if fmt == "json":
@@ -35,17 +42,25 @@ def read_sources(spark: SparkSession, paths: dict[str, str], fmt: str = "csv") -
     return {name: read_source(spark, name, path, fmt) for name, path in paths.items()}
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
+_TABLES: dict[tuple, DataFrame] = {}
+
+
+def table_version(spark: SparkSession, path: str) -> tuple:
+    """Modification time and length of a table's file or folder, through Spark's file system:
+    a rewritten table has another version."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop_path)
+    return status.getModificationTime(), status.getLen()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one of the driver's parquet tables.  The relation (file listing and
-    footer schema) is resolved once per application and path, as a catalog
-    table would be; DataFrames are immutable, so sharing them is safe."""
+    """Read one of the driver's parquet tables.  The relation (file listing and footer
+    schema) is resolved once per application, path and version of the table, as a catalog
+    table would be."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (spark.sparkContext.applicationId, path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _TABLES[key] = df
-    return df
+    version = table_version(spark, path)
+    hit = _TABLES.get(key)
+    if hit is None or hit[0] != version or hit[1].sparkSession is not spark:
+        hit = _TABLES[key] = (version, spark.read.parquet(path))
+    return hit[1]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -23,26 +21,26 @@ def write_table(df: DataFrame, path: str | None = None, table: str | None = None
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Tabular file sink with a header row (one directory of part files)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Tabular file sink with a header row (one directory of part files); quotes inside a
+    field are doubled, as ``readers.read_source`` reads them."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def _spark_type(value) -> T.DataType:
+    if isinstance(value, dict):
+        return T.StructType([T.StructField(k, _spark_type(v)) for k, v in value.items()])
+    if isinstance(value, (list, tuple)):
+        return T.ArrayType(_spark_type(value[0]) if value else T.StringType())
+    if isinstance(value, bool):
+        return T.BooleanType()
+    if isinstance(value, int):
+        return T.LongType()
+    return T.DoubleType() if isinstance(value, float) else T.StringType()
 
 
 def metrics_frame(spark: SparkSession, metrics: dict) -> DataFrame:
-    """One-row DataFrame for a metrics dict; nested dicts become JSON text so
-    that the schema stays fixed."""
-    flat = {k: (json.dumps(v) if isinstance(v, (dict, list)) else v) for k, v in metrics.items()}
-    fields = []
-    for k, v in flat.items():
-        if isinstance(v, bool):
-            t = T.BooleanType()
-        elif isinstance(v, int):
-            t = T.LongType()
-        elif isinstance(v, float):
-            t = T.DoubleType()
-        else:
-            t = T.StringType()
-        fields.append(T.StructField(k, t))
-    return spark.createDataFrame([tuple(flat.values())], T.StructType(fields))
+    """One-row DataFrame for a metrics dict; nested dicts become structs."""
+    return spark.createDataFrame([metrics], _spark_type(metrics))
 
 
 def write_metrics(spark: SparkSession, metrics: dict, path: str) -> None:
@@ -50,14 +48,7 @@ def write_metrics(spark: SparkSession, metrics: dict, path: str) -> None:
 
 
 def read_metrics(spark: SparkSession, path: str) -> dict:
-    row = spark.read.json(path).first().asDict()
-    for k, v in list(row.items()):
-        if isinstance(v, str) and v[:1] in "{[":
-            try:
-                row[k] = json.loads(v)
-            except ValueError:
-                pass
-    return row
+    return spark.read.json(path).first().asDict(recursive=True)
 
 
 def feature_names_frame(spark: SparkSession, names: list[str]) -> DataFrame:
@@ -82,7 +73,7 @@ def load_bundle(spark: SparkSession, path: str) -> dict:
     return {
         "model": PipelineModel.load(f"{base}/model"),
         "metrics": read_metrics(spark, f"{base}/metrics"),
-        "test_predictions": spark.read.option("header", True).option("inferSchema", True)
+        "test_predictions": spark.read.option("header", True).option("inferSchema", True).option("escape", '"')
         .csv(f"{base}/test_predictions"),
         "feature_names": [r.feature for r in spark.read.json(f"{base}/feature_names")
                           .orderBy("position").select("feature").collect()],

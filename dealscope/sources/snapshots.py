@@ -11,11 +11,11 @@ parquet tables ``orders lineitem part supplier customer nation region``:
 * rep = supplier of the order's smallest supplier key, product = type of the
   order's smallest part key, account = customer.
 
-Scale notes: line items are first reduced to one row per (order, ship day)
-with partial aggregation map-side, so a hot order key is bounded by the
-calendar span before any join; all aggregates are fixed-width hash
-aggregates.  Every later join is one-row-per-key on the right side, and the
-fact is the preserved (left) side, which AQE may split if a key is skewed.
+Scale notes: line items are dealt by order once; the reduction per (order, ship
+day), the join with the orders and the final reduction per order all use that one
+exchange.  An order's lines thus meet in one task, which streams them into at most one
+entry per day.  ``snapshot_mart`` joins each dimension once, by its surrogate key, with
+the fact as the preserved (left) side, which AQE may split if a key is skewed.
 """
 
 from __future__ import annotations
@@ -23,6 +23,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import recode
+from ..operators import mart
+from ..schemas import MART_COLUMNS, PIPELINE_SCHEMA, PRODUCT_RECODES
 from .readers import read_table
 
 
@@ -35,10 +38,12 @@ def _stage(status, priority):
 
 
 def line_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items reduced to one row per (order, ship day) with the smallest
-    part and supplier keys: partial aggregation runs map-side, and a hot order
-    keeps at most one row per distinct ship day."""
+    """Line items dealt by order and reduced to one row per (order, ship day) with
+    the smallest part and supplier keys.  Nearly all (order, day) pairs are single
+    lines, so combining them before the exchange would save nothing."""
     return (read_table(spark, sf_dir, "lineitem")
+            .select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate")
+            .repartition("l_orderkey")
             .groupBy("l_orderkey", F.to_date("l_shipdate").alias("ship_day"))
             .agg(F.min("l_partkey").alias("pk"), F.min("l_suppkey").alias("sk")))
 
@@ -66,28 +71,59 @@ def orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .alias("first_ship_day")))
 
 
+def _fact_columns() -> list:
+    """Stage, dates and value of an order that carries its first ship day."""
+    stage = _stage(F.col("o_orderstatus"), F.col("o_orderpriority"))
+    return [F.col("o_orderkey").cast("string").alias("opportunity_id"),
+            stage.alias("deal_stage"),
+            F.when(F.col("o_orderstatus").isin("O", "F"), F.to_date("o_orderdate")).alias("engage_date"),
+            F.when(F.col("o_orderstatus") == "F", F.col("first_ship_day")).alias("close_date"),
+            F.when(stage == "Won", F.col("o_totalprice"))
+             .when(stage == "Lost", F.lit(0.0)).alias("close_value")]
+
+
 def pipeline_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = orders_with_lines(spark, sf_dir)
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-
-    stage = _stage(F.col("o_orderstatus"), F.col("o_orderpriority"))
     return (orders
             .join(part, F.col("first_partkey") == part.p_partkey, "left")
             .join(supplier, F.col("first_suppkey") == supplier.s_suppkey, "left")
             .join(customer, orders.o_custkey == customer.c_custkey, "left")
-            .select(
-                F.col("o_orderkey").cast("string").alias("opportunity_id"),
-                F.col("s_name").alias("sales_agent"),
-                F.col("p_type").alias("product"),
-                F.col("c_name").alias("account"),
-                stage.alias("deal_stage"),
-                F.when(F.col("o_orderstatus").isin("O", "F"), F.to_date("o_orderdate"))
-                 .alias("engage_date"),
-                F.when(F.col("o_orderstatus") == "F", F.col("first_ship_day")).alias("close_date"),
-                F.when(stage == "Won", F.col("o_totalprice"))
-                 .when(stage == "Lost", F.lit(0.0)).alias("close_value")))
+            .select(*_fact_columns(), F.col("s_name").alias("sales_agent"),
+                    F.col("p_type").alias("product"), F.col("c_name").alias("account"))
+            .select(*[f.name for f in PIPELINE_SCHEMA]))
+
+
+def snapshot_mart(spark: SparkSession, sf_dir: str, *, product_recodes=None, sector_recodes=None,
+                  snapshot=None) -> DataFrame:
+    """The mart straight from the tables: each dimension is joined once, by surrogate key.
+
+    Equals ``build_mart`` over ``snapshot_sources`` because names are unique per key.
+    """
+    recodes = PRODUCT_RECODES if product_recodes is None else product_recodes
+    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    reps = (supplier.join(sales_teams(spark, sf_dir), F.col("s_name") == F.col("sales_agent"), "left")
+            .select("s_suppkey", F.col("s_name").alias("sales_agent"), *mart.team_columns()))
+    prods = products(spark, sf_dir)
+    part = read_table(spark, sf_dir, "part").select("p_partkey", recode(F.col("p_type"), recodes).alias("product"))
+    parts = part.join(prods.select("product", *mart.product_columns(prods)), "product", "left")
+    accts = accounts(spark, sf_dir)
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    custs = (customer.join(accts.select("account", *mart.account_columns(accts, sector_recodes)),
+                           F.col("c_name") == F.col("account"), "left")
+             .drop("account").withColumnRenamed("c_name", "account"))
+    orders = orders_with_lines(spark, sf_dir)
+    joined = (orders
+              .join(parts, F.col("first_partkey") == F.col("p_partkey"), "left")
+              .join(reps, F.col("first_suppkey") == F.col("s_suppkey"), "left")
+              .join(custs, F.col("o_custkey") == F.col("c_custkey"), "left"))
+    facts = _fact_columns()
+    joined = joined.select(*facts, *[c for c in MART_COLUMNS[:18] if c in joined.columns])
+    snap = (F.lit(snapshot).cast("date") if snapshot is not None
+            else orders.select(*facts).select(F.max("close_date")).scalar())
+    return mart.with_stage_columns(joined, snap)
 
 
 def sales_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
