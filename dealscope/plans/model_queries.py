@@ -82,19 +82,36 @@ _PREPARED: dict[tuple, tuple] = {}
 
 
 def _prepared(spark, d):
-    """Mart with engagement features and the closed deals with their holdout
-    split, cached once per application (a derived table that ten queries
-    read)."""
+    """Mart with engagement features and the closed deals with their holdout split, cached
+    once per application and mart (a derived table that ten queries read); another mart of
+    the same tables replaces it."""
     from pyspark import StorageLevel
     key = (spark.sparkContext.applicationId, d.rstrip("/"))
+    base = load_mart(spark, d)
     hit = _PREPARED.get(key)
-    if hit is None or hit[0].sparkSession is not spark:
-        mart = mart_ops.engagement_features(load_mart(spark, d))
+    if hit is None or hit[0] is not base:
+        if hit is not None and hit[0].sparkSession is spark:
+            hit[2].unpersist(blocking=False)
+        mart = mart_ops.engagement_features(base)
         closed = (splits.with_holdout(splits.closed_with_target(mart))
                   .persist(StorageLevel.MEMORY_AND_DISK))
-        hit = (mart, closed)
-        _PREPARED[key] = hit
-    return hit
+        hit = _PREPARED[key] = (base, mart, closed, {})
+    return hit[1], hit[2]
+
+
+def _fitted(spark, d, fit):
+    """``fit()`` once per prepared mart: the stand-in scorer's constants, which three queries share."""
+    _prepared(spark, d)
+    memo = _PREPARED[spark.sparkContext.applicationId, d.rstrip("/")][3]
+    if "standardized" not in memo:
+        memo["standardized"] = fit()
+    return memo["standardized"]
+
+
+def release_prepared() -> None:
+    """Drop every cached split and fitted constant."""
+    while _PREPARED:
+        _PREPARED.popitem()[1][2].unpersist(blocking=False)
 
 
 def _scored_test(spark, d):
@@ -189,6 +206,10 @@ def q_median(spark, d):
 
 
 def _standardized(spark, d):
+    return _fitted(spark, d, lambda: _fit_standardized(spark, d))
+
+
+def _fit_standardized(spark, d):
     """All mart rows with train-fitted, imputed and standardised numerics, plus
     the fitted per-feature weights and means of the stand-in linear scorer."""
     mart, closed = _prepared(spark, d)

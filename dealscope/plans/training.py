@@ -22,11 +22,11 @@ def score_with_model(model, mart: DataFrame) -> DataFrame:
 
 def explain_top(model, scores: DataFrame, mart: DataFrame, n: int = TOP_RISK_N,
                 k: int = TOP_K_CONTRIBUTIONS) -> DataFrame:
-    """Top-k contributions for the n highest-risk deals.  The n ids are a
-    bounded (n-row) broadcast semi-join filter on the open deals."""
+    """Top-k contributions for the n highest-risk deals, found by a semi-join on
+    their n ids (adaptive execution broadcasts them if their bytes are few)."""
     ids = scoring.top_risk(scores, n).select("opportunity_id")
     rows = (engagement_features(scoring.open_deals(mart))
-            .join(F.broadcast(ids), "opportunity_id", "left_semi"))
+            .join(ids, "opportunity_id", "left_semi"))
     background = None
     if not hasattr(model.estimator_model, "treeWeights"):
         closed = with_holdout(models.model_frame(mart))

@@ -8,6 +8,7 @@ local do we create a scratch directory ourselves (tests, local runs).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
@@ -54,7 +55,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if named:
         sc.setCheckpointDir(named)
         return named
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):       # not local-cluster: its executors share no memory
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder for checkpoints")
     path = tempfile.mkdtemp(prefix="dealscope-ckpt-")

@@ -102,10 +102,10 @@ def test_treeshap_additivity_on_spark_gbt(spark):
         assert abs(sum(r.contributions) + r.base_value - math.log(p / (1 - p))) < 1e-9
 
 
-def test_wide_columns_take_the_distributed_mode(spark):
-    df = spark.createDataFrame([("b",), ("a",), ("a",), ("b",), (None,), ("c",)], "c string")
-    assert features.modes(df, ["c"], max_distinct=0) == {"c": "a"}
-    assert features.modes(df, ["c"]) == {"c": "a"}
+def test_modes_take_the_smallest_of_ties(spark):
+    df = spark.createDataFrame([("b", None), ("a", None), ("a", None), ("b", None), (None, None), ("c", None)], "c string, d string")
+    assert features.modes(df, ["c", "d"]) == {"c": "a", "d": None}
+    assert features.modes(df.limit(0), ["c"]) == {"c": None}
 
 
 def test_treeshap_additivity_on_pipeline_model(spark):

@@ -59,20 +59,28 @@ def test_running_sums_match_cumsum(spark):
     assert [r.cum_a for r in desc] == [float(i + 1) for i in range(len(desc))]
 
 
-def test_rank_within_exact(spark):
+def test_rank_within_exact_and_keeps_nulls(spark):
     random.seed(4)
     rows = [(f"id{i}", i % 3 == 0, random.getrandbits(32)) for i in range(2000)]
+    rows += [(None, True, None), ("x", None, 7), (None, None, None), ("y", False, None)]
     df = spark.createDataFrame(rows, "id string, label boolean, h bigint")
-    for small in (0, None):                      # range path, then the small path
-        out = ranking.rank_within(df, ["label"], "h", "id", bits=6, small_rows=small).collect()
-        for lab in (True, False):
+    for bits in (6, None):
+        out = ranking.rank_within(df, ["label"], "h", "id", bits=bits).collect()
+        assert len(out) == len(rows)
+        for lab in (True, False, None):
             mine = sorted((r._rank, r.id) for r in out if r.label == lab)
-            ref = sorted(((h, i) for i, label, h in rows if label == lab))
-            assert [i for _, i in mine] == [i for _, i in ref]
+            ref = sorted(((-1 if h is None else h, i or "") for i, label, h in rows if label == lab))
+            assert [i or "" for _, i in mine] == [i for _, i in ref]
             assert [rk for rk, _ in mine] == list(range(len(ref)))
             assert {r._size for r in out if r.label == lab} == {len(ref)}
 
 
+def test_splits_keep_rows_without_id_or_label(spark):
+    rows = [(f"o{i}", i % 2) for i in range(20)] + [(None, 1), ("z", None)]
+    df = spark.createDataFrame(rows, "opportunity_id string, target int")
+    assert splits.with_holdout(df).count() == 22 and splits.with_folds(df).count() == 22
+
+
 def test_splits_are_stratified_and_disjoint(spark):
     rows = [(f"o{i}", 1 if i % 3 else 0) for i in range(999)]
     df = spark.createDataFrame(rows, "opportunity_id string, target int")
@@ -107,11 +115,21 @@ def test_exact_quantile_matches_percentile(spark):
     assert ranking.exact_quantile(df.limit(0), "x", 0.5) is None
 
 
-def test_wide_columns_take_the_distributed_median(spark):
+def test_medians_of_several_columns(spark):
     from dealscope.operators import features
-    df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (4.0, 6.0), (9.0, None)], "a double, b double")
-    assert features.medians(df, ["a", "b"], max_distinct=0) == {"a": 3.0, "b": 5.0}
-    assert features.medians(df, ["a", "b"]) == {"a": 3.0, "b": 5.0}
+    df = spark.createDataFrame([(1.0, 5.0, None), (2.0, 5.0, None), (4.0, 6.0, None), (9.0, None, None)], "a double, b double, c double")
+    assert features.medians(df, ["a", "b", "c"]) == {"a": 3.0, "b": 5.0, "c": None}
+
+
+def test_all_metrics_agree_with_the_single_ones(spark):
+    random.seed(6)
+    rows = [(random.randint(0, 1), random.randint(0, 9) / 9) for _ in range(200)]
+    df = spark.createDataFrame(rows, "target int, score double")
+    m = metrics.all_metrics(df).first()
+    assert m.auc == metrics.auc(df).first().auc
+    assert m.average_precision == metrics.average_precision(df).first().average_precision
+    single = metrics.accuracy_brier(df).first()
+    assert m.accuracy == single.accuracy and abs(m.brier - single.brier) < 1e-12
 
 
 def test_auc_equals_spark_evaluator(spark):

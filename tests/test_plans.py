@@ -5,7 +5,7 @@ import io
 
 from pyspark.sql import functions as F
 
-from dealscope.operators import joins, splits, stall
+from dealscope.operators import splits, stall
 from dealscope.plans.queries import load_mart
 from dealscope.plans.warehouse import ANALYSES, build_warehouse
 
@@ -27,22 +27,83 @@ def test_warehouse_writes_every_table(spark, scratch):
     assert tables["funnel_conversion"].count() == 4
 
 
-def test_checked_broadcast_falls_back_to_shuffle(spark):
-    small = spark.range(3).withColumnRenamed("id", "k")
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    assert "BroadcastHashJoin" in plan_text(big.join(joins.checked_broadcast(small), "k"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def _without_broadcast(spark):
+    return spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+
+
+def test_one_exchange_on_the_line_items_and_one_join_per_dimension(spark):
+    from dealscope.sources.snapshots import snapshot_mart
+    _without_broadcast(spark)
     try:
-        text = plan_text(big.join(joins.checked_broadcast(small, max_rows=2), "k"))
-        assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+        mart = snapshot_mart(spark, SF_SMALL, snapshot="2001-12-31")
+        tree = mart._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = tree.splitlines()
+    scan = next(i for i, ln in enumerate(lines) if "l_orderkey" in ln and "FileScan" in ln)
+    depth = lines[scan].index("FileScan")
+    above, exchanges = depth, 0
+    for ln in reversed(lines[:scan]):
+        at = len(ln) - len(ln.lstrip(" :+-"))
+        if at < above:
+            above = at
+            if "SortMergeJoin" in ln:
+                break
+            exchanges += "Exchange hashpartitioning" in ln
+    assert exchanges == 1
+    assert sum("FileScan" in ln and "c_custkey" in ln and "c_acctbal" in ln for ln in lines) == 1
+    assert "CartesianProduct" not in tree
+
+
+def test_snapshot_mart_equals_the_name_joins(spark):
+    from dealscope.operators.mart import build_mart
+    from dealscope.sources.snapshots import snapshot_mart, snapshot_sources
+    src = snapshot_sources(spark, SF_SMALL)
+    by_name = build_mart(src["sales_pipeline"], src["sales_teams"], src["products"], src["accounts"])
+    by_key = snapshot_mart(spark, SF_SMALL)
+    assert by_name.columns == by_key.columns
+    assert by_name.exceptAll(by_key).isEmpty() and by_key.exceptAll(by_name).isEmpty()
+
+
+def test_skewed_account_is_split_by_adaptive_execution(spark):
+    fact = spark.range(200_000).selectExpr("if(id % 3 = 0, 7, id) AS k", "id AS v", "repeat('x', 40) AS pad")
+    dim = spark.range(200_000).selectExpr("id AS k", "id * 2 AS w")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = fact.join(dim, "k", "left").groupBy("w").agg(F.count("v").alias("n"), F.max("pad"))
+        assert sum(r.n for r in df.collect()) == 200_000
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+
+
+def test_stalled_plan_has_no_cartesian_product(spark):
+    assert "CartesianProduct" not in plan_text(stall.stalled_deals(load_mart(spark, SF_SMALL)))
+
+
+def test_derived_tables_keep_their_order(spark):
+    from dealscope.operators import cycle, funnel, winrate
+    mart = load_mart(spark, SF_SMALL)
 
+    def keys(df, key):
+        return [key(r) for r in df.collect()]
 
-def test_stalled_plan_broadcasts_norms_and_prunes_scans(spark):
-    text = plan_text(stall.stalled_deals(load_mart(spark, SF_SMALL)))
-    assert "CartesianProduct" not in text
-    assert "BroadcastHashJoin" in text
+    for df in (funnel.funnel_conversion(mart), ):
+        assert keys(df, lambda r: r.stage_order) == [1, 2, 3, 4]
+    assert keys(funnel.funnel_counts(mart), lambda r: r.step) == [1, 2, 3, 4]
+    for df in (winrate.win_rate_by_rep(mart, min_closed=1), winrate.win_rate_by_segment(mart), winrate.win_rate_by_product(mart)):
+        found = keys(df, lambda r: (-r.win_rate, -r.closed_deals))
+        assert len(found) > 1 and found == sorted(found)
+    names = keys(cycle.cycle_summary(mart), lambda r: r.outcome)
+    assert names == sorted(names) and len(names) == 2
+    bands = keys(cycle.cycle_distribution(mart), lambda r: cycle.CYCLE_LABELS.index(r.cycle_bucket))
+    assert len(bands) > 2 and bands == sorted(bands)
+    ratios = keys(stall.worst_first(stall.stalled_deals(mart)), lambda r: (r.stall_ratio is None, -(r.stall_ratio or 0), r.opportunity_id))
+    assert len(ratios) > 10 and ratios == sorted(ratios)
 
 
 def test_adapter_scan_reads_only_needed_columns(spark):
@@ -57,11 +118,10 @@ def test_rank_windows_are_partitioned(spark):
     from dealscope.operators import ranking
     closed = splits.closed_with_target(load_mart(spark, SF_SMALL)) \
         .withColumn("_h", md5_hash32(F.col("opportunity_id"), 42))
-    big = plan_text(ranking.rank_within(closed, ["target"], "_h", "opportunity_id", small_rows=0))
-    windows = [ln for ln in big.splitlines() if ln.strip().startswith("Arguments") and "_rng" in ln]
+    text = plan_text(ranking.rank_within(closed, ["target"], "_h", "opportunity_id"))
+    assert "SinglePartition" not in text
+    windows = [ln for ln in text.splitlines() if ln.strip().startswith("Arguments") and "_rng" in ln]
     assert windows, "row-grain window must be partitioned by label and hash range"
-    small = plan_text(splits.with_folds(splits.closed_with_target(load_mart(spark, SF_SMALL))))
-    assert "SinglePartition" not in small   # proven-small path still partitions by class
 
 
 def test_top_risk_is_take_ordered(spark):
@@ -76,8 +136,6 @@ def test_aggregations_combine_map_side(spark):
     mart = load_mart(spark, SF_SMALL)
     assert "partial_count" in plan_text(winrate.win_rate_by_rep(mart))
     assert "partial_percentile" in plan_text(stall.segment_norms(mart))
-    assert "partial_min" in plan_text(__import__(
-        "dealscope.sources.snapshots", fromlist=["line_days"]).line_days(spark, SF_SMALL))
     assert "partial_percentile_approx" in plan_text(cycle.cycle_summary(mart, approx_accuracy=10000))
 
 

@@ -9,7 +9,7 @@ from dealscope.operators import models, splits
 from dealscope.plans.queries import load_mart
 from dealscope.plans.warehouse import build_warehouse
 from dealscope.sources.readers import read_sources
-from dealscope.sources.sinks import load_bundle, read_metrics, save_bundle, write_metrics
+from dealscope.sources.sinks import load_bundle, read_metrics, save_bundle, write_csv, write_metrics
 
 from .conftest import SF_SMALL
 from .fixtures import ACCOUNTS_ROWS, PIPELINE_ROWS, PRODUCTS_ROWS, TEAMS_ROWS
@@ -49,6 +49,38 @@ def test_csv_sources_to_warehouse(spark, scratch):
     assert {r.opportunity_id for r in stalled} == {"o3", "o4", "o8"}
 
 
+def test_csv_columns_go_by_name_and_quotes_by_the_book(spark, scratch):
+    import pytest
+
+    from dealscope.sources.readers import MissingColumnError, read_source
+    path = os.path.join(scratch, "products.csv")
+    with open(path, "w", newline="") as fh:
+        fh.write('series,extra,product,sales_price\r\nGTX,x,"GTX ""Pro"", X",12\r\nMG,y,"two\nlines",\r\n')
+    rows = read_source(spark, "products", path).collect()
+    assert [tuple(r) for r in rows] == [('GTX "Pro", X', "GTX", "12"), ("two\nlines", "MG", None)]
+    write_csv(read_source(spark, "products", path), os.path.join(scratch, "again"))
+    assert read_source(spark, "products", os.path.join(scratch, "again")).collect() == rows
+    with open(path, "w") as fh:
+        fh.write("product,series\na,b\n")
+    with pytest.raises(MissingColumnError, match="sales_price"):
+        read_source(spark, "products", path)
+
+
+def test_metrics_json_is_nested(spark, scratch):
+    import glob
+    import json
+    write_metrics(spark, {"cross_validation": {"m": {"mean": 0.5}}}, os.path.join(scratch, "n"))
+    with open(glob.glob(os.path.join(scratch, "n", "part-*"))[0]) as fh:
+        assert json.loads(fh.read()) == {"cross_validation": {"m": {"mean": 0.5}}}
+
+
+def test_rewritten_table_is_read_again(spark, scratch):
+    from dealscope.sources.readers import read_table
+    for n in (3, 5):
+        spark.range(n).write.mode("overwrite").parquet(os.path.join(scratch, "t.parquet"))
+        assert read_table(spark, scratch, "t").count() == n
+
+
 def test_metrics_round_trip(spark, scratch):
     m = {"a": 1, "b": 0.5, "c": "x", "nested": {"k": {"v": 1.5}}}
     write_metrics(spark, m, os.path.join(scratch, "m"))
