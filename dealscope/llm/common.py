@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealscope.session import ensure_checkpoint_dir
+from dealscope.session import ensure_checkpoint_dir, ship_package
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,13 @@ def utf8(col: Column | str) -> Column:
     return F.coalesce(col.cast("binary"), F.lit(b""))
 
 
+def session_of(df: DataFrame) -> SparkSession:
+    """The session of ``df``, with this package sent to its Python workers (once)."""
+    spark = df.sparkSession
+    ship_package(spark)
+    return spark
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have, whatever columns it brings along."""
     taken = {c.lower() for c in df.columns}

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealscope.llm.common import fresh, stored, utf8
+from dealscope.llm.common import fresh, session_of, stored, utf8
 
 WINDOW = 13
 CHUNK_BYTES = 64 << 20
@@ -157,7 +157,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     """``docs`` with a struct column ``out``: n_words, n_hit (words inside an occurrence),
     n_items, items_sha256, contaminated (at least 5 % of the words hit), and the hit word
     spans (starts, stops) and item ids."""
-    sc = docs.sparkSession.sparkContext
+    sc = session_of(docs).sparkContext
     result = docs
     for k, chunk in enumerate(_chunks(benchmark, item_col, item_text_col, chunk_bytes)):
         first, more = _scanners(sc.broadcast(Matcher(chunk, window)))

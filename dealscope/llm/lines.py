@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealscope.llm.common import stored, utf8
+from dealscope.llm.common import session_of, stored, utf8
 
 WINDOW = 2
 MODULUS = 4
@@ -70,6 +70,7 @@ def _finish(data: bytes, removed: set[int], keep_text: bool) -> tuple:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed_lines, n_removed_chunks, kept_sha256, and
     ``kept``, the bytes that are left (NULL without ``keep_text``)."""
+    session_of(docs)
     names = [c.split()[0] for c in _RESULT.split(", ")]
     rows = docs.select(F.col(id_col).alias("doc_id"), utf8(text_col).alias("data")).withColumn("body", F.xxhash64("data"))
 

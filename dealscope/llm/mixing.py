@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealscope.llm.common import fresh, stored, utf8
+from dealscope.llm.common import fresh, session_of, stored, utf8
 from dealscope.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -139,7 +139,7 @@ def rounded(cells: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, size, source, source_size, target, rate, copies, taken, and
     ``body_hash``, a hash of the text that tells documents of one id apart."""
-    spark = docs.sparkSession
+    session_of(docs)
     sized = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                                word_count(text_col).alias("size"), F.xxhash64(utf8(text_col)).alias("body_hash")), "mixing")
     cells = materialize(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealscope.llm.common import stored
+from dealscope.llm.common import session_of, stored
 
 # HTML's void, raw-text and block elements, and names of page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -271,6 +271,7 @@ def consensus(votes: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
+    session_of(pages)
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     winners = stored(consensus(votes(rows)), "host-paths").select(F.col("host").alias("_host"), "path")
 

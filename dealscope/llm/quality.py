@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealscope.llm.common import fresh, utf8
+from dealscope.llm.common import fresh, session_of, utf8
 from dealscope.llm.linear import Ftrl, NgramHasher, sigmoid
 
 MAX_ROWS = 20_000
@@ -52,6 +52,7 @@ def training_labels(labels: DataFrame, label_col: str, max_rows: int) -> DataFra
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", text_col: str = "text",
         max_rows: int = MAX_ROWS, bits: int = 18) -> np.ndarray:
     """Averaged FTRL weights (float32, bias last) over ``2 ** bits`` hashed columns."""
+    session_of(docs)
     known = training_labels(labels, label_col, max_rows)
     n_rows = known.count()
     replicas = max(1, -(-n_rows // ROWS_PER_REPLICA))
@@ -82,7 +83,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", text_col
 
 def score(docs: DataFrame, weights: np.ndarray, text_col: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with column ``out``: probability of label 1."""
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    shared = session_of(docs).sparkContext.broadcast(weights)
     bits = (len(weights) - 1).bit_length() - 1
 
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

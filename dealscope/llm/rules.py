@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealscope.llm.common import utf8
+from dealscope.llm.common import session_of, utf8
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -79,6 +79,7 @@ def _measured(bodies: pd.Series) -> pd.DataFrame:
 
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, the measurements and ``fail_bits``: bit k is set if rule k fails."""
+    session_of(docs)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.pandas_udf(_measured, _MEASURES)(utf8(text_col)).alias("m")).select("doc_id", "m.*")
     bits = " + ".join(f"CASE WHEN {rule} THEN {1 << k}L ELSE 0L END" for k, rule in enumerate(RULES.values()))
     return rows.withColumn("fail_bits", F.expr(bits))

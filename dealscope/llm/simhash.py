@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealscope.llm.common import fresh, stored, utf8, width
+from dealscope.llm.common import fresh, session_of, stored, utf8, width
 from dealscope.session import materialize
 
 RADIUS = 3
@@ -71,6 +71,8 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "fp", shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with the fingerprint as a signed 64-bit column."""
 
+    session_of(docs)
+
     def hashed(bodies: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(b, shingle) for b in bodies], np.uint64).view(np.int64))
 
@@ -267,9 +269,10 @@ def _packed(fp: np.ndarray, part: list[int]) -> np.ndarray:
 def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """Links a, b (a > b) that connect every two distinct fingerprints within the radius:
     spanning forests of the links found in each bucket."""
+    spark = session_of(fps)
     n, shared = bit_statistics(fps)
     if n < 2:
-        return fps.sparkSession.createDataFrame([], "a bigint, b bigint")
+        return spark.createDataFrame([], "a bigint, b bigint")
     parts, thresholds = plan_search(n, shared, radius)
 
     def probes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -301,7 +304,7 @@ def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
     rows = rows.select("part", "value", "fp", "data", own.alias("own"), other.alias("other")) \
                .select("part", "value", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "fp", "data")
     rows = rows.withColumn("key", F.xxhash64("part", "value", "low", "high")) \
-               .repartition(width(fps.sparkSession), "key").sortWithinPartitions("key")
+               .repartition(width(spark), "key").sortWithinPartitions("key")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None

@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealscope.llm.common import stored, utf8, width
+from dealscope.llm.common import session_of, stored, utf8, width
 from dealscope.session import ensure_checkpoint_dir
 
 LENGTH = 400
@@ -95,6 +95,7 @@ def _pieces(texts: Iterator[bytes], length: int) -> Iterator[tuple[list[int], li
 
 def suffixes(docs: DataFrame, length: int, reach: int) -> DataFrame:
     """doc_id, body, key, ctx, a, s, e of every run of ``docs`` (doc_id, body, data)."""
+    session_of(docs)
     block = length - reach + 1
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

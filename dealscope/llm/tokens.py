@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dealscope.llm.common import fresh, utf8
+from dealscope.llm.common import fresh, session_of, utf8, width
 from dealscope.session import ensure_checkpoint_dir
 
 END_ID = 1
@@ -193,7 +193,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, id_col: str = "doc_
     tie = fresh(docs, "_tie")
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), utf8(text_col).alias("body"))
     rows = rows.withColumn(tie, F.xxhash64("body"))
-    n = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = max(2, width(session_of(docs)))
     rows = rows.repartitionByRange(n, "doc_id", tie).sortWithinPartitions("doc_id", tie)
     rows = rows.select(F.spark_partition_id().alias("part"), "doc_id", "body")
 
@@ -235,6 +235,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     one inside each partition.
     """
     shards = spark.read.schema(_SHARD_SCHEMA).parquet(path)
+    session_of(shards)
     sizes = shards.select("part", "seq", "n_tokens")
     parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("size"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

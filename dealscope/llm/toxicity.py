@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealscope.llm.common import stored, utf8
+from dealscope.llm.common import session_of, stored, utf8
 from dealscope.llm.linear import Ftrl, sigmoid
 from dealscope.llm.quality import is_held_out, training_labels
 
@@ -113,6 +113,7 @@ def _fit_round(rows: DataFrame, j: int, n: int) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", group_col: str = "lang", max_rows: int = MAX_ROWS) -> Chain:
     """The chain for ``label_col`` within each value of ``group_col`` (values with a positive
     training label) and overall."""
+    session_of(docs)
     known = training_labels(labels, label_col, max_rows)
     # About max_rows pairs of numbers at most: a bounded broadcast.
     rows = docs.select("doc_id", utf8("text").alias("body"), F.col(group_col).alias("grp")).join(F.broadcast(known), "doc_id")
@@ -144,7 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", group_col:
 
 def score(docs: DataFrame, chain: Chain, text_col: str = "text", out: str = "toxicity") -> DataFrame:
     """``docs`` with column ``out``: the probabilities in the chain's order."""
-    shared = docs.sparkSession.sparkContext.broadcast(chain)
+    shared = session_of(docs).sparkContext.broadcast(chain)
 
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model, cache = shared.value, {}
