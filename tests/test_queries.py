@@ -10,7 +10,8 @@ from .conftest import SF_SMALL
 FAST = ["mart_opportunities", "segment_norms", "stalled_deals", "stalled_deals_fallback",
         "funnel_conversion", "win_rate_by_rep", "cycle_summary_rollup", "cycle_distribution",
         "attrition", "risk_score", "deal_summary_text", "prompt_text", "top_risk", "key_findings",
-        "holdout_split", "auc_rank", "average_precision", "topk_contributions", "quality_checks"]
+        "holdout_split", "mart_text_sources", "fold_sizes", "model_counts", "holdout_labels", "portfolio_metrics",
+        "funnel_counts", "deal_lookup", "contributions_linear", "auc_rank", "average_precision", "topk_contributions", "quality_checks"]
 
 
 def _norm(v):
@@ -36,11 +37,10 @@ def duck():
 
 def test_every_query_has_an_oracle_or_is_rows_only():
     import __spark_entry__ as E
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    rows_only = set(q) - set(o)
-    assert rows_only == {"feature_names", "cv_summary", "holdout_predictions", "fit_and_score",
-                         "contributions_tree", "model_metrics"}
+    from dealscope.plans.queries import ORACLE, QUERIES
+    assert set(E.oracle_sql()) <= set(E.queries()) and set(QUERIES) <= set(E.queries())
+    assert set(QUERIES) - set(ORACLE) == {"cv_summary", "holdout_predictions", "fit_and_score",
+                                          "contributions_tree", "model_metrics"}
 
 
 @pytest.mark.parametrize("name", FAST)
