@@ -20,7 +20,6 @@ import hashlib
 import itertools
 import re
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
