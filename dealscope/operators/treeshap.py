@@ -52,6 +52,9 @@ def tree_tables(gbt_model, spark) -> list[dict]:
     return [trees[k] for k in sorted(trees)]
 
 
+MAX_TREE_FEATURES = 7       # a tree of depth 3 has at most 7 splits
+
+
 def _root(nodes: dict) -> int:
     children = {n["left"] for n in nodes.values()} | {n["right"] for n in nodes.values()}
     return next(i for i in nodes if i not in children)
@@ -117,6 +120,9 @@ def tree_contributions(df: DataFrame, model, features_col: str = "features",
     gbt = model.estimator_model if hasattr(model, "estimator_model") else model
     trees = tree_tables(gbt, spark)
     n_features = gbt.numFeatures
+    widest = max((len({n["feature"] for n in t["nodes"].values() if n["left"] >= 0}) for t in trees), default=0)
+    if widest > MAX_TREE_FEATURES:
+        raise ValueError(f"a tree splits on {widest} features; 2 ** {MAX_TREE_FEATURES} coalitions are the limit")
     used = sorted({n["feature"] for t in trees for n in t["nodes"].values() if n["left"] >= 0})
     # Empty batches still need a base value: the covers' expectation.
     _, base_value = shap_matrix(trees, np.zeros((1, n_features)), n_features)
