@@ -39,7 +39,7 @@ from dealscope.session import ensure_checkpoint_dir
 
 END_ID = 1
 SHARD_BYTES = 16 << 20
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 _SAMPLE = 64
 _HEAD = struct.Struct("<IIB")
 _SHARD_SCHEMA = ("part int, seq int, doc_ids array<bigint>, n_tokens bigint, ids binary, "
