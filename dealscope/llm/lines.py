@@ -4,10 +4,16 @@ A rolling hash over the hashes of the last ``WINDOW`` lines ends a chunk whereve
 ``MODULUS``, so equal passages fall into equal chunks wherever they stand.  Chunks with at
 least two lines that are not blank count.  Those whose hash occurs more than once in all
 documents are fetched, compared byte by byte with the first of them (smallest document
-id, text hash, position), and removed if equal; the first one stays.
+id, text hash, position), and removed if equal; the first one stays.  That is ``kept``.
+
+Chunks leave the ends of a repeated passage and passages without two boundaries.  ``rest`` is what
+is left by the finest boundaries, every line: each two neighbouring lines that are not blank, with the
+blank lines between them, are looked up and compared in the same way.  Every run of two or
+more equal lines consists of such pairs, so it goes whole, wherever it begins and ends.  Of a
+pair that overlaps its own first occurrence only the second line goes.
 
 Edge cases: NULL is the empty text, one blank line; chunks of one line and single repeated lines
-stay; rows equal in id and text share their fate; NULL ids come last in the order; an empty
+stay; blank lines around a run stay; rows equal in id and text share their fate; NULL ids come last in the order; an empty
 table gives an empty result; other columns are ignored.
 """
 
@@ -27,7 +33,9 @@ from dealscope.llm.common import session_of, stored, utf8
 WINDOW = 2
 MODULUS = 4
 _MASK = (1 << 64) - 1
-_RESULT = "n_lines bigint, n_removed_lines bigint, n_removed_chunks bigint, kept_sha256 string, kept binary"
+_PAIRS = -(1 << 31)         # number of a text's first pair of lines; chunks count from 0
+_RESULT = ("n_lines bigint, n_removed_lines bigint, n_removed_chunks bigint, kept_sha256 string, kept binary, "
+           "n_repeat_lines bigint, rest_sha256 string, rest binary")
 
 
 def chunks(lines: list[bytes], window: int = WINDOW, modulus: int = MODULUS) -> Iterator[tuple[int, int]]:
@@ -50,26 +58,45 @@ def _several(lines: list[bytes]) -> bool:
     return sum(1 for x in lines if x.strip()) >= 2
 
 
+def _pairs(lines: list[bytes]) -> list[tuple[int, int]]:
+    """Line ranges from each line that is not blank to the next one."""
+    full = [i for i, x in enumerate(lines) if x.strip()]
+    return [(a, b + 1) for a, b in zip(full, full[1:])]
+
+
 def _digests(lines: list[bytes]) -> Iterator[tuple[int, int, int]]:
-    """Number, 128-bit hash (two signed numbers) of each chunk of several lines."""
-    for k, (a, b) in enumerate(chunks(lines)):
-        if _several(lines[a:b]):
-            d = xxhash.xxh3_128_digest(b"\n".join(lines[a:b]))
-            yield k, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+    """Number, 128-bit hash (two signed numbers) of each chunk of several lines and each pair of lines."""
+    found = [(k, a, b, 0) for k, (a, b) in enumerate(chunks(lines)) if _several(lines[a:b])]
+    found += [(_PAIRS + k, a, b, 1) for k, (a, b) in enumerate(_pairs(lines))]
+    for k, a, b, seed in found:
+        d = xxhash.xxh3_128_digest(b"\n".join(lines[a:b]), seed)
+        yield k, int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+
+
+def _without_pairs(lines: list[bytes], removed: set[int]) -> list[bytes]:
+    pairs, gone = _pairs(lines), set()
+    for k in removed:
+        a, b = pairs[k]
+        if k and lines[slice(*pairs[k - 1])] == lines[a:b]:     # the pair before, if removed, takes line a itself
+            a += 1
+        gone.update(range(a, b))
+    return [x for i, x in enumerate(lines) if i not in gone]
 
 
 def _finish(data: bytes, removed: set[int], keep_text: bool) -> tuple:
     lines = data.split(b"\n")
-    if not removed:
-        return len(lines), 0, 0, hashlib.sha256(data).hexdigest(), data if keep_text else None
-    left = [x for k, (a, b) in enumerate(chunks(lines)) if k not in removed for x in lines[a:b]]
-    kept = b"\n".join(left)
-    return len(lines), len(lines) - len(left), len(removed), hashlib.sha256(kept).hexdigest(), kept if keep_text else None
+    in_chunks, in_pairs = {k for k in removed if k >= 0}, {k - _PAIRS for k in removed if k < 0}
+    left = [x for k, (a, b) in enumerate(chunks(lines)) if k not in in_chunks for x in lines[a:b]] if in_chunks else lines
+    rest = _without_pairs(lines, in_pairs) if in_pairs else lines
+    kept, whole = (data if x is lines else b"\n".join(x) for x in (left, rest))
+    return (len(lines), len(lines) - len(left), len(in_chunks), hashlib.sha256(kept).hexdigest(), kept if keep_text else None,
+            len(lines) - len(rest), hashlib.sha256(whole).hexdigest(), whole if keep_text else None)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed_lines, n_removed_chunks, kept_sha256, and
-    ``kept``, the bytes that are left (NULL without ``keep_text``)."""
+    ``kept``, the bytes that are left (NULL without ``keep_text``); n_repeat_lines, rest_sha256 and ``rest``,
+    the same with every repeated run of lines removed whole."""
     session_of(docs)
     names = [c.split()[0] for c in _RESULT.split(", ")]
     rows = docs.select(F.col(id_col).alias("doc_id"), utf8(text_col).alias("data")).withColumn("body", F.xxhash64("data"))
@@ -102,9 +129,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             contents = []
             if found:
                 lines = data.split(b"\n")
-                ranges = list(chunks(lines))
+                ranges, pairs = list(chunks(lines)), _pairs(lines)
                 for r in found:
-                    a, b = ranges[r["k"]]
+                    a, b = ranges[r["k"]] if r["k"] >= 0 else pairs[r["k"] - _PAIRS]
                     contents.append({"k": r["k"], "h1": r["h1"], "h2": r["h2"], "is_first": bool(r["is_first"]),
                                      "content": b"\n".join(lines[a:b])})
             result = None if pending else dict(zip(names, _finish(data, set(), keep_text)))

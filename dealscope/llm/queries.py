@@ -57,7 +57,7 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.dedup_lines(table(spark, sf_dir, "documents"), keep_text=False).drop("kept")
+    return lines.dedup_lines(table(spark, sf_dir, "documents"), keep_text=False).drop("kept", "rest")
 
 
 QUERIES = {f.__name__: f for f in (
