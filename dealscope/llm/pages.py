@@ -14,7 +14,7 @@ sidebars, forms, and elements whose class or id names an advert, a notice, a men
 links or reader comments.
 
 Edge cases: NULL and empty html give the empty text; a NULL or odd url belongs to the host '';
-unclosed and stray tags are repaired the way browsers do for paragraphs, lists and tables;
+unclosed and stray tags are repaired the way browsers do for heads, paragraphs, lists and tables;
 repeated rows vote each; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -35,6 +35,9 @@ from dealscope.llm.common import session_of, stored
 # HTML's void, raw-text and block elements, and names of page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math object canvas select".split())
+#: Tags that leave an open head open; any other tag, and text, close it.  Tags that "/>" closes, though raw.
+HEAD_TAGS = frozenset("html head base basefont bgsound link meta title style script noscript template".split())
+FOREIGN = frozenset(("svg", "math"))
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
@@ -57,6 +60,7 @@ IMPLIED = {"li": (frozenset(("li",)), _LISTS), "dt": (frozenset(("dt", "dd")), f
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_UNQUOTED = re.compile(r"""=\s*[^\s"'>]*$""")              # a slash at the end belongs to the value
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _DIGITS = re.compile(r"\d+")
@@ -122,11 +126,17 @@ class Page:
                 depth -= 1
             close_to(depth)
 
+        def close_head() -> None:
+            while opened["head"]:
+                close("head")
+
         at, n = 0, len(source)
         while at < n:
             m = _TOKEN.search(source, at)
             piece = source[at:m.start()] if m else source[at:]
             if piece:
+                if opened["head"] and piece.strip():
+                    close_head()
                 text.append(piece)
                 if in_link:
                     links += len(piece)
@@ -142,6 +152,8 @@ class Page:
                 elif tag in BLOCK or tag == "br":
                     text.append(" ")
                 continue
+            if tag not in HEAD_TAGS:
+                close_head()
             if tag in BLOCK:
                 flush()
                 if opened["p"]:                 # a block start closes an open paragraph
@@ -154,6 +166,8 @@ class Page:
                         break
                     if self._stack_tags[depth] in stop:
                         break
+            if tag in FOREIGN and m[3].rstrip().endswith("/") and not _UNQUOTED.search(m[3]):
+                continue
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
                 at = end.end() if end else n

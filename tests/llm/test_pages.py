@@ -67,3 +67,17 @@ def test_edges(spark):
     got = sorted(plain(found, "page_id", "n_chars"), key=repr)
     assert got == sorted([(1, 0), (2, 0), (None, 4), (3, 4), (3, 4), (4, 4), (5, 249999)], key=repr)
     assert pages.extract(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_open_head():
+    article = "<article><h1>T</h1><p>One, two.</article>"
+    assert text(f"<html><head><meta charset=utf-8><title>t</title><style>p{{}}</style>\n<body>{article}</body></html>") == "T\nOne, two."
+    assert text(f"<html><head><title>t</title><script>x</script>{article}") == "T\nOne, two."
+    assert text("<head><title>t</title>\nBare text.") == "Bare text."
+    assert text(f"<head><link rel=x>\n<noscript><p>no</noscript></head><body>{article}") == "T\nOne, two."
+
+
+def test_self_closed_svg():
+    assert text("<body><p>One <svg viewBox='0 0 1 1'/>two<p>three <svg><text>no</text></svg>four<math/> five") == "One two\nthree four five"
+    assert text("<body><p>One<svg class=a>no</svg> two<svg width=5/>no</svg> three") == "One two three"
+    assert text("<body><p>One<svg />, two") == "One, two"
