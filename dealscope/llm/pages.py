@@ -11,7 +11,8 @@ Text rules: character references are decoded, white space inside a block (line b
 included) becomes one space, blocks are trimmed and joined in page order by one newline.
 Left out are scripts, styles and other markup, navigation, page headers and footers,
 sidebars, forms, and elements whose class or id names an advert, a notice, a menu, sharing
-links or reader comments.
+links or reader comments.  An element that is or holds the page's article or main heading is not
+left out for its name or for being a form, only what is furniture inside it.
 
 Edge cases: NULL and empty html give the empty text; a NULL or odd url belongs to the host '';
 unclosed and stray tags are repaired the way browsers do for heads, paragraphs, lists and tables;
@@ -51,6 +52,9 @@ LAYOUT_NAMES = frozenset(
 CUT_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertisements adsense sponsor sponsored promo promotion promoted comment "
     "comments commentlist respond disqus reply replies discussion".split())
+#: Words of a class that say "article", whatever other classes there are.
+ARTICLE_NAMES = frozenset("post hentry entry story".split())
+LAYOUT, FURNITURE, NAMED, FORM = 1, 2, 3, 4      # why a node is cut
 #: An open element that a start tag closes: tag -> (closed tags, tags that stop the search).
 _LISTS, _TABLES = frozenset(("ul", "ol", "menu")), frozenset(("table",))
 IMPLIED = {"li": (frozenset(("li",)), _LISTS), "dt": (frozenset(("dt", "dd")), frozenset(("dl",))),
@@ -67,10 +71,11 @@ _DIGITS = re.compile(r"\d+")
 
 
 class Page:
-    """Nodes and text blocks of one page.  A node is (parent, path hash, furniture, tag)."""
+    """Nodes and text blocks of one page.  A node is (parent, path hash, why it is cut, tag, label)."""
 
     def __init__(self, source: str):
         self.parent, self.path, self.cut, self.tag, self.label = [-1], [0], [0], [""], [""]
+        self.plain = {0: False}                             # nodes with a cut name that is a whole class, id or role
         self.blocks: list[tuple[int, str, int]] = []        # node, text, characters inside links
         self._parse(source)
 
@@ -79,11 +84,17 @@ class Page:
         classes = sorted(set(_DIGITS.sub("#", names.get("class", "")).split()))
         label = ".".join((tag, *classes))
         words = set(_WORD.findall(_CAMEL.sub(" ", " ".join(names.values())).lower())) if names else ()
-        if tag in FURNITURE_TAGS or (words and not CUT_NAMES.isdisjoint(words) and tag not in ("html", "body", "main")):
-            cut = 2
-        elif tag == "header" and not self._in_article or (words and not LAYOUT_NAMES.isdisjoint(words)
-                                                                  and tag not in ("html", "body", "main", "article")):
-            cut = 1
+        cut_name = bool(words) and not CUT_NAMES.isdisjoint(words) and tag not in ("html", "body", "main")
+        layout_name = bool(words) and not LAYOUT_NAMES.isdisjoint(words) and tag not in ("html", "body", "main", "article")
+        if tag in FURNITURE_TAGS and tag != "form":
+            cut = FURNITURE
+        elif cut_name or tag == "form" and layout_name:
+            cut = NAMED
+            self.plain[len(self.parent)] = not CUT_NAMES.isdisjoint(" ".join(names.values()).lower().split())
+        elif tag == "form":
+            cut = FORM
+        elif tag == "header" and not self._in_article or layout_name:
+            cut = LAYOUT
         else:
             cut = 0
         self.parent.append(at)
@@ -188,15 +199,82 @@ class Page:
         close_to(1)
         flush()
 
+    def _sizes(self) -> list[int]:
+        """Characters of text in each node."""
+        sizes = [0] * len(self.parent)
+        for node, block, _ in self.blocks:
+            sizes[node] += len(block)
+        for k in range(len(sizes) - 1, 0, -1):
+            sizes[self.parent[k]] += sizes[k]
+        return sizes
+
+    def _article_classes(self, node: int) -> set[str]:
+        """Classes of a node without a word of CUT_NAMES."""
+        return {c for c in self.label[node].split(".")[1:] if CUT_NAMES.isdisjoint(_WORD.findall(_CAMEL.sub(" ", c).lower()))}
+
+    def _core(self, sizes: list[int]) -> list[bool]:
+        """Whether each node is or holds a main element, the main heading or the page's article.
+
+        In an element with a cut name, a heading counts if it is the first there and no article or main
+        element had one before; an article (not one inside another) counts if it is named as one, has the
+        class of one that counts, or has more than half of the text.  If a whole class or id is a cut
+        name ("comments", not "has-comments"), they count for that only if the page has no other heading
+        (for a heading: none before, nor an article around that element)."""
+        n = len(self.parent)
+        core, plain, inner, apart, article = ([False] * n for _ in range(5))
+        named, home = [0] * n, [0] * n
+        articles, headed, titled, headings, other_heading = [], set(), False, 0, False
+        for k in range(1, n):
+            up, tag = self.parent[k], self.tag[k]
+            named[k] = named[up] or (k if self.cut[k] == NAMED else 0)      # the outermost one
+            plain[k] = plain[up] or self.plain.get(k, False)
+            apart[k] = apart[up] or self.cut[k] == FURNITURE
+            article[k] = article[up] or self.tag[up] == "article"
+            inner[k] = inner[up] or article[k] and self.plain.get(k, False)
+            home[k] = k if tag in ("article", "main") else home[up]
+            if apart[k]:
+                continue
+            if tag == "main":
+                core[k] = True
+            elif tag == "h1":
+                core[k] = not named[k] or not titled and named[k] not in headed and not (plain[k] and headings) and not inner[k]
+                headed.add(named[k])
+                titled |= 0 < home[k] >= named[k]
+                headings += 1
+                other_heading |= not plain[k]
+            elif tag == "article" and not article[k]:
+                articles.append(k)
+        total = sum(len(block) for node, block, _ in self.blocks if not apart[node])
+        classes: set[str] = set()
+        for k in articles:
+            own = self._article_classes(k)
+            post = any(not ARTICLE_NAMES.isdisjoint(_WORD.findall(c.lower())) for c in own)
+            if not named[k] or post or 2 * sizes[k] > total and not (plain[k] and other_heading):
+                core[k] = True
+                classes |= own
+        for k in articles:
+            core[k] |= named[k] == k and not classes.isdisjoint(self._article_classes(k))
+        for k in range(n - 1, 0, -1):
+            core[self.parent[k]] |= core[k]
+        return core
+
     def _kept(self) -> list[bool]:
         """Whether each node is outside all furniture.  A layout name does not cut an element that
-        holds the page's article or main heading."""
+        holds an article or main heading; a cut name or a form does not cut one that is or holds the
+        page's own, and a form with paragraphs and more than half of the page's text is not cut."""
         holds = [t in ("article", "main", "h1") for t in self.tag]
+        prose = [t == "p" for t in self.tag]
         for k in range(len(self.parent) - 1, 0, -1):
             holds[self.parent[k]] |= holds[k]
+            prose[self.parent[k]] |= prose[k]
+        late = NAMED in self.cut or FORM in self.cut
+        sizes = self._sizes() if late else []
+        core = self._core(sizes) if late else []
         kept = [True]
         for k in range(1, len(self.parent)):
-            cut = self.cut[k] == 2 or self.cut[k] == 1 and not holds[k]
+            why = self.cut[k]
+            cut = (why == FURNITURE or why == LAYOUT and not holds[k] or why == NAMED and not core[k]
+                   or why == FORM and not core[k] and not (prose[k] and 2 * sizes[k] > sizes[0]))
             kept.append(kept[self.parent[k]] and not cut)
         return kept
 

@@ -81,3 +81,38 @@ def test_self_closed_svg():
     assert text("<body><p>One <svg viewBox='0 0 1 1'/>two<p>three <svg><text>no</text></svg>four<math/> five") == "One two\nthree four five"
     assert text("<body><p>One<svg class=a>no</svg> two<svg width=5/>no</svg> three") == "One two three"
     assert text("<body><p>One<svg />, two") == "One, two"
+
+
+STORY = "<h1>T</h1><p>One, two.<p>Three."
+COMMENTS = "<div class=comments><h1>Comments</h1><article class=comment><p>no, no, no, no, no, no</article></div><div class=ad>Buy</div>"
+
+
+def test_cut_names_on_the_article():
+    for body in (f'<article class="post comments-open">{STORY}{COMMENTS}</article>',
+                 f'<div id="content" class="has-comments">{STORY}{COMMENTS}</div>',
+                 f'<article class="post category-promotion">{STORY}</article>{COMMENTS}',
+                 f'<main><div class="has-comments">{STORY}{COMMENTS}</div></main>',
+                 f'<div id=logo><h1>Site</h1></div><div class="has-comments"><article class=a>{STORY}{COMMENTS}</article></div>',
+                 f'<article class="post sponsored">{STORY}</article>{COMMENTS}',
+                 f'<article class="comments-open"><p>T<p>One, two.<p>Three.{COMMENTS}</article>'):
+        assert text(page(body)) == "T\nOne, two.\nThree."
+
+
+def test_comments_and_adverts_stay_cut():
+    for body in (f"<article>{STORY}</article>{COMMENTS}", f"<div>{STORY}</div>{COMMENTS}",
+                 f"<article>{STORY}</article><section id=comments><article><p>no, no, no</article></section>",
+                 f"<main>{STORY}<article class=comment><p>no, no</article></main>",
+                 f"<div>{STORY}</div><form class=comment-form><p>no, no</form><form><p>no, no</form>"):
+        assert text(page(body)) == "T\nOne, two.\nThree."
+
+
+def test_list_of_posts():
+    posts = "".join(f'<article class="post {c}"><h2>P{c}</h2><p>x, y</article>' for c in ("comments-open", "tag-ad", "z"))
+    kept = pages.Page(page(f"<div class=list>{posts}</div>"))
+    assert [b for n, b, _ in kept.blocks if kept._kept()[n]] == ["Pcomments-open", "x, y", "Ptag-ad", "x, y", "Pz", "x, y"]
+
+
+def test_form_around_the_page():
+    assert text(page(f"<form id=aspnetForm><nav>n</nav><article>{STORY}</article><div class=comments>no</div></form>")) == "T\nOne, two.\nThree."
+    assert text(page("<form id=aspnetForm><div class=c><p>One, two.<p>Three.</div><footer>f</footer></form>")) == "One, two.\nThree."
+    assert text(page("<form>Name <input></form>")) == ""
