@@ -285,7 +285,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     runs = suffixes(rows, length, reach).join(known, ["key", "ctx"])
     rep = F.col("share") & (F.col("place") == F.xxhash64("doc_id", "body", "s"))
     run = F.struct("key", "a", "s", "e", "full", "hot", rep.alias("rep"))
-    per_doc = runs.groupBy(F.col("doc_id").alias("_id"), F.col("body").alias("_body")).agg(F.collect_list(run).alias("runs"))
+    # Rows equal in id and text have equal runs: each once, however many rows there are.
+    per_doc = runs.groupBy(F.col("doc_id").alias("_id"), F.col("body").alias("_body")).agg(F.collect_set(run).alias("runs"))
 
     def packed(bodies: pd.Series) -> pd.Series:
         pack = zstandard.ZstdCompressor(level=3).compress
@@ -296,6 +297,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def resolve(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
+        before = None
         for batch in found:
             out = {c: [] for c in ("doc_id", "body", "result", "packed", "spans", "open")}
             for doc_id, body, blob, runs in zip(*(batch.column(i) for i in range(4))):
@@ -305,6 +307,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 opened = [{**{c: r[c] for c in ("key", "a", "s", "e", "hot", "rep")}, "content": data[r["s"]:r["e"] + length]}
                           for r in runs if r["rep"] or not r["full"]]
                 pending = any(not r["rep"] for r in opened)
+                row = doc_id.as_py(), body.as_py()
+                if row == before and not pending:
+                    opened = []                         # the row before, equal in id and text, gave them
+                before = row
                 out["doc_id"].append(doc_id.as_py())
                 out["body"].append(body.as_py())
                 out["result"].append(None if pending else dict(zip(names, finish(data, spans, keep_text))))

@@ -92,3 +92,16 @@ def test_edges(spark):
     got = suffixes.remove_repeats(edge_docs(spark), length=40, reach=20)
     assert ordered(plain(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) == ordered(want)
     assert suffixes.remove_repeats(no_docs(spark)).collect() == []
+
+
+def test_repeated_rows_give_their_runs_once(spark, monkeypatch):
+    rng = random.Random(8)
+    text = "".join(rng.choice("abcdefgh") for _ in range(300))
+    rows = [(None, text)] * 60 + [(1, "x" * 9 + text[100:190] + "yz")]
+    opened = []
+    partial = suffixes._partial_spans
+    monkeypatch.setattr(suffixes, "_partial_spans", lambda df, *a: opened.append(df.count()) or partial(df, *a))
+    got = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), length=20, reach=9)
+    want = [(d, *x) for (d, _), x in zip(rows, brute([t.encode() for _, t in rows], 20))]
+    assert ordered(plain(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) == ordered(want)
+    assert 0 < opened[0] < 60
