@@ -221,7 +221,15 @@ def _near(x: np.ndarray, y: np.ndarray, radius: int) -> np.ndarray:
 def _bucket_links(key: np.ndarray, fp: np.ndarray, data: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links inside runs of equal key (rows sorted by key): all pairs of data rows, and each
     data row with each probe.  Runs that are small are compared by shifting all rows at once,
-    large ones row by row against the rest of the run."""
+    large ones row by row against the rest of the run.  Runs of probes alone are left out."""
+    if not len(key):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    live = np.repeat(np.logical_or.reduceat(data, starts), np.diff(starts, append=len(key)))
+    if not live.all():
+        at = np.flatnonzero(live)
+        a, b = _bucket_links(key[at], fp[at], data[at], radius)
+        return at[a], at[b]
     edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
     length = np.diff(edge)
     end = np.repeat(edge[1:], length)
@@ -266,6 +274,21 @@ def _packed(fp: np.ndarray, part: list[int]) -> np.ndarray:
     return out
 
 
+def cut_buckets(rows: DataFrame, block: int) -> DataFrame:
+    """key, fp, data: the rows of each bucket (part, value), of large buckets once for each pair of
+    blocks; large buckets without a data row, which have no links, are dropped."""
+    sizes = rows.groupBy("part", "value").agg(F.count(F.lit(1)).alias("members"), F.max("data").alias("any")) \
+                .where(F.col("members") > block)
+    # At most rows / block keys; a shuffle join all the same, it needs no bound.
+    rows = rows.join(sizes, ["part", "value"], "left").where(F.coalesce("any", F.lit(True)))
+    blocks = F.ceil(F.coalesce("members", F.lit(1)) / block).cast("int")
+    own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
+    other = F.explode(F.sequence(F.lit(0), blocks - 1))
+    rows = rows.select("part", "value", "fp", "data", own.alias("own"), other.alias("other")) \
+               .select("part", "value", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "fp", "data")
+    return rows.select(F.xxhash64("part", "value", "low", "high").alias("key"), "fp", "data")
+
+
 def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """Links a, b (a > b) that connect every two distinct fingerprints within the radius:
     spanning forests of the links found in each bucket."""
@@ -294,17 +317,7 @@ def links(fps: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame
                                                 "fp": fp[sent].view(np.int64), "data": False})
 
     rows = stored(fps.select("fp").mapInPandas(probes, "part int, value bigint, fp bigint, data boolean"), "simhash-probes")
-    sizes = rows.groupBy("part", "value").agg(F.count(F.lit(1)).alias("members"), F.max("data").alias("any")) \
-                .where((F.col("members") > block) & F.col("any"))
-    # At most rows / block keys; a shuffle join all the same, it needs no bound.
-    rows = rows.join(sizes.select("part", "value", "members"), ["part", "value"], "left")
-    blocks = F.ceil(F.coalesce("members", F.lit(1)) / block).cast("int")
-    own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    rows = rows.select("part", "value", "fp", "data", own.alias("own"), other.alias("other")) \
-               .select("part", "value", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "fp", "data")
-    rows = rows.withColumn("key", F.xxhash64("part", "value", "low", "high")) \
-               .repartition(width(spark), "key").sortWithinPartitions("key")
+    rows = cut_buckets(rows, block).repartition(width(spark), "key").sortWithinPartitions("key")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None

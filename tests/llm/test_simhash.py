@@ -152,3 +152,31 @@ def test_keep_first_on_documents(spark):
     docs = table(spark, SF2, "documents")
     groups = {r.component_id for r in simhash.near_duplicates(docs).collect()}
     assert sorted(r.doc_id for r in simhash.keep_first(docs).collect()) == sorted(groups)
+
+
+def test_buckets_of_probes_alone_are_not_compared(spark, monkeypatch):
+    near, compared = simhash._near, []
+    monkeypatch.setattr(simhash, "_near", lambda x, y, radius: compared.append(np.broadcast(x, y).size) or near(x, y, radius))
+    key = np.array([1] * 200 + [2] * 3 + [3] * 30)
+    fp = np.arange(len(key), dtype=np.uint64)
+    data = np.isin(np.arange(len(key)), (201, 202))
+    a, b = simhash._bucket_links(key, fp, data, 64)
+    assert {tuple(sorted(p)) for p in zip(a.tolist(), b.tolist())} == {(200, 201), (200, 202), (201, 202)} and sum(compared) <= 3
+    rows = [(0, 7, i, False) for i in range(50)] + [(0, 8, i, i == 0) for i in range(50)] + [(1, 7, i, i == 0) for i in range(5)]
+    left = simhash.cut_buckets(spark.createDataFrame(rows, "part int, value bigint, fp bigint, data boolean"), 8).collect()
+    assert {(r.fp, r.data) for r in left} == {(i, i == 0) for i in range(50)}
+    # Of 50 rows in 7 blocks each stands with every block, the small bucket is whole, the bucket of probes alone is gone.
+    assert len(left) == 50 * 7 + 5
+
+
+def test_a_hot_empty_neighbour_loses_no_link(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "plan_search", lambda *a: ([list(range(0, 32)), list(range(32, 64))], [1, 1]))
+    rng = random.Random(9)
+    fps = sorted({rng.getrandbits(32) << 32 | 1 for _ in range(300)} | {(0xABCDEF << 32 | 1) ^ x for x in (0, 2, 4 << 40)})
+    df = spark.createDataFrame([(as_signed(f),) for f in fps], "fp bigint")
+    roots = dict(plain(simhash.components(simhash.links(df, block=8)), "node", "root"))
+    want, got = {}, {}
+    for f, r in brute_groups(fps).items():
+        want.setdefault(r, set()).add(f)
+        got.setdefault(roots.get(as_signed(f), as_signed(f)), set()).add(f)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
