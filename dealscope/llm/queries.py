@@ -23,6 +23,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_policy(rules.ledger(table(spark, sf_dir, "documents")))
 
 
+def op2_rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.ablations(rules.ledger(table(spark, sf_dir, "documents")))
+
+
 def op3_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -62,7 +66,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_quality_rules, op3_toxicity_chain, op4_source_mixing,
-    op5_simhash, op6_suffix_dedup, op7_benchmark_decontamination, op8_token_output, op9_html_extraction, op10_line_dedup)}
+    op5_simhash, op6_suffix_dedup, op7_benchmark_decontamination, op8_token_output, op9_html_extraction, op10_line_dedup, op2_rule_ablation)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 _WORDS = r"[^\x20\x09-\x0D]+"

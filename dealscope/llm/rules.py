@@ -3,7 +3,8 @@
 :func:`ledger` evaluates every rule once per document and stores one failure bit per rule
 next to the measurements.  :func:`apply_policy` turns the stored bits into verdicts under a
 named, versioned policy (a bit mask), and :func:`ablation` computes from the bits alone what
-each rule of a policy removes, by itself and beside the others, in one aggregation.
+each rule of a policy removes, by itself and beside the others, in one aggregation
+(:func:`ablations`: of all policies).
 
 Edge cases: NULL and empty texts have no words, so they fail the base rule on the word
 count; repeated rows are judged one by one; an empty table gives an empty ledger; other
@@ -96,20 +97,25 @@ def apply_policy(book: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
                .withColumn("kept", ~F.col("base_failed") & ~failed(bits, POLICIES[policy]))
 
 
-def ablation(book: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
-    """One row per rule of a policy: documents failing it, failing it alone (which would stay
+def ablations(book: DataFrame, policies: tuple[str, ...] = tuple(POLICIES)) -> DataFrame:
+    """One row per policy and rule of it: documents failing it, failing it alone (which would stay
     without it), kept by the policy, and kept without the rule."""
-    whole, order = mask(POLICIES[policy]), list(RULES)
-    bits = F.col("fail_bits").bitwiseAND(F.lit(whole))
+    order = list(RULES)
     # Documents with equal bits are one row from here on: at most 2 ** len(RULES).
-    patterns = book.groupBy(bits.alias("bits")).agg(F.count(F.lit(1)).alias("n"))
-    rules = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(1 << order.index(r)).cast("bigint").alias("bit"))
-                                for r in POLICIES[policy]]))
-    p = patterns.select("bits", "n", rules.alias("r")).select("bits", "n", "r.*")
+    patterns = book.groupBy("fail_bits").agg(F.count(F.lit(1)).alias("n"))
+    rules = F.explode(F.array(*[F.struct(F.lit(p).alias("policy"), F.lit(mask(POLICIES[p])).cast("bigint").alias("whole"),
+                                         F.lit(r).alias("rule"), F.lit(1 << order.index(r)).cast("bigint").alias("bit"))
+                                for p in policies for r in POLICIES[p]]))
+    p = patterns.select("n", "fail_bits", rules.alias("r")).select("n", "r.*", F.col("fail_bits").bitwiseAND(F.col("r.whole")).alias("bits"))
     hit, rest = F.col("bits").bitwiseAND(F.col("bit")) != 0, F.col("bits").bitwiseAND(F.bitwise_not(F.col("bit")))
 
     def total(when: Column) -> Column:
         return F.sum(F.when(when, F.col("n")).otherwise(0))
 
-    return p.groupBy("rule").agg(total(hit).alias("n_failed"), total(F.col("bits") == F.col("bit")).alias("n_alone"),
-                                 total(F.col("bits") == 0).alias("n_kept"), total(rest == 0).alias("n_kept_without"))
+    return p.groupBy("policy", "rule").agg(total(hit).alias("n_failed"), total(F.col("bits") == F.col("bit")).alias("n_alone"),
+                                           total(F.col("bits") == 0).alias("n_kept"), total(rest == 0).alias("n_kept_without"))
+
+
+def ablation(book: DataFrame, policy: str = DEFAULT_POLICY) -> DataFrame:
+    """:func:`ablations` of one policy, without its name."""
+    return ablations(book, (policy,)).drop("policy")

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from dealscope.llm import rules
 from dealscope.llm.queries import ORACLE, op2_quality_rules
 
-from .helpers import SF, edge_docs, no_docs, ordered, plain
+from .helpers import SF, edge_docs, no_docs, ordered, plain, table
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -54,3 +54,23 @@ def test_edges_policies_and_ablation(spark):
             assert r.n_alone == sum(f & set(names) == {r.rule} for f in failing)
             assert (r.n_kept, r.n_kept_without) == (sum(not f & set(names) for f in failing), sum(not f & rest for f in failing))
     assert rules.apply_policy(rules.ledger(no_docs(spark))).collect() == []
+
+
+def test_ablation_query(spark):
+    from dealscope.llm.queries import QUERIES
+
+    def failing(text):
+        words, chars, symbols, n_lines, dup, repeat, upper, letters = brute(text or "")
+        found = {"few_words": words < 10, "repeated_windows": 100 * repeat > 20 * words, "short_words": chars < 2 * words,
+                 "long_words": chars > 20 * words, "symbols": 4 * symbols > words, "repeated_lines": 2 * dup > n_lines,
+                 "shouting": letters >= 100 and 10 * upper > 6 * letters}
+        return {r for r, x in found.items() if x}
+
+    fails = [failing(t) for t, in plain(table(spark, SF, "documents"), "text")]
+    want = [(p, r, sum(r in f for f in fails), sum(f & set(names) == {r} for f in fails), sum(not f & set(names) for f in fails),
+             sum(not f & (set(names) - {r}) for f in fails)) for p, names in rules.POLICIES.items() for r in names]
+    got = plain(QUERIES["op2_rule_ablation"](spark, SF), "policy", "rule", "n_failed", "n_alone", "n_kept", "n_kept_without")
+    assert sorted(got) == sorted(want)
+    # The verdicts of both policies are columns of op2 already.
+    for r in op2_quality_rules(spark, SF).collect():
+        assert (not r.base_failed, r.kept) == tuple(not r.fail_bits & rules.mask(rules.POLICIES[p]) for p in ("base-1", "strict-1"))
