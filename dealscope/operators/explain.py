@@ -46,7 +46,7 @@ def top_contributions(df: DataFrame, terms: Sequence[tuple[str, Column]],
     return _explode_top(df.select(id_col, top_k_array(terms, k).alias("_top")), id_col)
 
 
-def top_contributions_array(df: DataFrame, names: Sequence[str], array_col: str,
+def top_contributions_array(df: DataFrame, names: Sequence[str] | Column, array_col: str,
                             k: int = TOP_K_CONTRIBUTIONS, id_col: str = "opportunity_id"
                             ) -> DataFrame:
     """As ``top_contributions`` for an array<double> column of contributions."""
@@ -81,20 +81,23 @@ def explain(model, rows: DataFrame, background: DataFrame | None = None,
     Empty input gives an empty frame with the same six columns.
     """
     from . import treeshap
-    names = model.feature_names()
     prepared = model.pipeline.transform(rows)
     est = model.estimator_model
-    if hasattr(est, "treeWeights"):
-        contrib = treeshap.tree_contributions(prepared, model, id_col=id_col)
-        return top_contributions_array(contrib, names, "contributions", k, id_col)
+    if not hasattr(est, "coefficients"):
+        return _explode_top(treeshap.tree_top(prepared, model, k, id_col=id_col), id_col)
     if background is None:
         raise ValueError("a linear model needs background rows for the feature means")
     means = _vector_means(model.pipeline.transform(background))
-    coefs = est.coefficients.toArray().tolist()
+    return linear_top(prepared, model.feature_names(), est.coefficients.toArray().tolist(), means, k, id_col)
+
+
+def linear_top(prepared: DataFrame, names: Sequence[str], weights: Sequence[float], means: Sequence[float],
+               k: int = TOP_K_CONTRIBUTIONS, id_col: str = "opportunity_id", features_col: str = "features") -> DataFrame:
+    """Top-k of weight * (x - mean) over a feature vector.  Names, weights and means are arrays of a one-row
+    table, so the plan has the same size whatever the number of levels."""
     from pyspark.ml.functions import vector_to_array
-    w = F.array(*[F.lit(float(v)) for v in coefs])
-    mu = F.array(*[F.lit(float(v)) for v in means])
-    contrib = prepared.select(
-        id_col, F.zip_with(F.zip_with(vector_to_array(F.col("features")), mu, lambda x, m: x - m),
-                           w, lambda d, c: d * c).alias("contributions"))
-    return top_contributions_array(contrib, names, "contributions", k, id_col)
+    model = prepared.sparkSession.createDataFrame(
+        [(list(names), [float(w) for w in weights], [float(m) for m in means])], "names array<string>, weights array<double>, means array<double>")
+    rows = prepared.select(id_col, vector_to_array(F.col(features_col)).alias("_x")).crossJoin(model)
+    terms = F.zip_with(F.zip_with(F.col("_x"), F.col("means"), lambda x, m: x - m), F.col("weights"), lambda x, w: x * w)
+    return _explode_top(rows.select(id_col, top_k_of_array(F.col("names"), terms, k).alias("_top")), id_col)

@@ -105,11 +105,14 @@ class FittedFeatures:
     def transform(self, df: DataFrame) -> DataFrame:
         return self.model.transform(df)
 
+    def levels(self, k: int) -> list[str]:
+        """Levels of the k-th categorical column, in the order of their indices."""
+        return list(self.model.stages[1].labelsArray[k])
+
     def feature_names(self) -> list[str]:
-        indexer = self.model.stages[1]
         names = []
-        for col, labels in zip(self.categorical, indexer.labelsArray):
-            names += [f"cat__{col}_{lvl}" for lvl in labels]
+        for k, col in enumerate(self.categorical):
+            names += [f"cat__{col}_{lvl}" for lvl in self.levels(k)]
         names += [f"num__{c}" for c in self.numeric]
         return names
 

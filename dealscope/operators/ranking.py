@@ -127,11 +127,12 @@ def top_k_array(values: Sequence[tuple[str, Column]], k: int) -> Column:
     return F.slice(F.sort_array(items), 1, k)
 
 
-def top_k_of_array(names: Sequence[str], values: Column, k: int) -> Column:
-    """Top-k of an array<double> column (position i named ``names[i]``) by
-    absolute size, name breaking ties; compact higher-order expressions
-    instead of one expression per element."""
-    labelled = F.arrays_zip(F.array(*[F.lit(n) for n in names]).alias("name"),
+def top_k_of_array(names: Sequence[str] | Column, values: Column, k: int) -> Column:
+    """Top-k of an array<double> column (position i named ``names[i]``; an array column of names
+    keeps the plan small) by absolute size, name breaking ties; compact higher-order
+    expressions instead of one expression per element."""
+    labels = names if isinstance(names, Column) else F.array(*[F.lit(n) for n in names])
+    labelled = F.arrays_zip(labels.alias("name"),
                             values.alias("value"))
     items = F.transform(labelled, lambda s: F.struct((-F.abs(s["value"])).alias("neg_abs"),
                                                       s["name"].alias("name"),

@@ -28,7 +28,7 @@ def explain_top(model, scores: DataFrame, mart: DataFrame, n: int = TOP_RISK_N,
     rows = (engagement_features(scoring.open_deals(mart))
             .join(ids, "opportunity_id", "left_semi"))
     background = None
-    if not hasattr(model.estimator_model, "treeWeights"):
+    if hasattr(model.estimator_model, "coefficients"):
         closed = with_holdout(models.model_frame(mart))
         background = closed.filter(F.col("split") == "train")
     return explain_ops.explain(model, rows, background=background, k=k)
