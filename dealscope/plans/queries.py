@@ -190,3 +190,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Further query groups register themselves on import.
 from . import analytics_queries  # noqa: E402,F401
 from . import model_queries  # noqa: E402,F401
+from . import event_queries  # noqa: E402,F401
