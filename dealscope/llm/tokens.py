@@ -40,6 +40,7 @@ from dealscope.session import ensure_checkpoint_dir
 END_ID = 1
 SHARD_BYTES = 16 << 20
 CACHE_WORDS = 300_000
+CACHE_BYTES = 64            # longer words are not kept: 300,000 x (64 bytes and their ids) bound the cache
 _SAMPLE = 64
 _HEAD = struct.Struct("<IIB")
 _SHARD_SCHEMA = ("part int, seq int, doc_ids array<bigint>, n_tokens bigint, ids binary, "
@@ -106,6 +107,11 @@ class EliasFano:
 
 # ---------------------------------------------------------------- encoding
 
+#: Byte-level alphabet: bytes that Latin-1 cannot show stand at 256 and on, in order.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+_BYTE_CHARS = {b: 256 + k for k, b in enumerate(_HIDDEN)}
+
+
 class WordEncoder:
     """Whole-text encoding through the tokenizers library, word by word where that is exact.
 
@@ -118,7 +124,8 @@ class WordEncoder:
     """
 
     _WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-    _TAIL = re.compile(rb"(.*[0-9A-Za-z])([.,;:!?]+)", re.S)
+    _TAIL = re.compile(rb"(.*(?:[0-9A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-/:-@\[-`{-~]+)", re.S)
+    _LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")      # letters of Latin-1, composed already
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -138,10 +145,19 @@ class WordEncoder:
         found = self._tok.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)
         return np.array(found[0].ids, self.dtype).tobytes()
 
+    def _letters(self, word: str) -> bytes:
+        """Packed ids of a word of lower-case letters, as the model sees it: one character a byte."""
+        found = self._tok.model.tokenize(word)
+        return struct.pack(f"<{len(found)}{'H' if self.id_bytes == 2 else 'I'}", *[t.id for t in found])
+
     def _word(self, word: bytes) -> bytes:
         """Packed ids of a word that the cache does not hold."""
         if word.isalpha() and word.islower():       # ASCII letters only: normalizing leaves them as they are
-            return np.array([t.id for t in self._tok.model.tokenize(word.decode())], self.dtype).tobytes()
+            return self._letters(word.decode())
+        if b"\xc3" in word:
+            text = word.decode("utf-8", "replace")
+            if self._LATIN.fullmatch(text):
+                return self._letters(text.lower().encode().decode("latin-1").translate(_BYTE_CHARS))
         tail = self._TAIL.fullmatch(word)
         if tail and b"<|" not in word:
             return self._cache[tail[1]] + self._cache[tail[2]]
@@ -169,7 +185,9 @@ class _Cache(dict):
         self._find = find
 
     def __missing__(self, word: bytes) -> bytes:
-        self[word] = found = self._find(word)
+        found = self._find(word)
+        if len(word) <= CACHE_BYTES:
+            self[word] = found
         return found
 
 

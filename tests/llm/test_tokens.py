@@ -33,13 +33,22 @@ def test_elias_fano_is_small():
 def test_encoder_equals_the_library(name):
     path, rng = public_tokenizers.path(name), random.Random(3)
     parts = [*"abcTHK .,;:!?'\"-*&% \n\t", "é", "H̱", "é", "İ", "Σ", "ς", " ", " ", "\x1c", "\x85", "<|endoftext|>", "<|ENDOFTEXT|>",
-             "'s", "'S", "1", "٣", "日本", "̸", "ſ", "K", "​", "🙂", "don't", "THE", "ß", "ﬁ"]
+             "'s", "'S", "1", "٣", "日本", "̸", "ſ", "K", "​", "🙂", "don't", "THE", "ß", "ﬁ", "ä", "È", "×", "÷", "***", "#", "$$$", "[", "`", "{~", "ÿ", "ñandú", "<", "|"]
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(3000)]
     coder, library = tokens.WordEncoder(path), Tokenizer.from_file(path)
     for text, blob in zip(texts, coder.encode(t.encode() for t in texts)):
         assert np.frombuffer(blob, coder.dtype).tolist() == library.encode(text, add_special_tokens=False).ids + [1], text
 
 
+def test_long_words_are_not_kept():
+    coder = tokens.WordEncoder(WORDS)
+    texts = [("".join(chr(0x4e00 + (i * 7919 + k) % 20000) for k in range(3000)) + f"{i}").encode() for i in range(50)]
+    library = Tokenizer.from_file(WORDS)
+    for text, blob in zip(texts, coder.encode(texts)):
+        assert np.frombuffer(blob, coder.dtype).tolist() == library.encode(text.decode(), add_special_tokens=False).ids + [1]
+    assert sum(map(len, coder._cache)) < 50 * tokens.CACHE_BYTES
+
+
 def expected(rows):
     library, start, out = Tokenizer.from_file(WORDS), 0, []
     for doc_id, text in rows:
