@@ -5,8 +5,9 @@ pattern).  For each pattern length there are a shift table over blocks of two wo
 lets the scan jump over positions where no pattern can end, and buckets of patterns by
 their last block; a direct comparison of the words confirms each occurrence.
 
-The benchmark is cut into chunks of at most ``CHUNK_BYTES`` expected text, so what is
-broadcast has a bound; the documents are scanned once per chunk (one chunk in practice).
+The benchmark is cut into chunks of at most ``CHUNK_BYTES`` expected text.  A chunk's tables take some 106
+times its text in Python (measured on 3.9 MB), so about 220 MB on the driver and in each worker at a
+time; the documents are scanned once per chunk, and a chunk's broadcast goes once its scan is written.
 
 Edge cases: NULL and empty texts have no words and are never contaminated; items without
 words match nothing; items with equal text each count; repeated rows of one item count
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from dealscope.llm.common import fresh, session_of, stored, utf8
 
 WINDOW = 13
-CHUNK_BYTES = 64 << 20
+CHUNK_BYTES = 2 << 20
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _RESULT = ("n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, "
            "starts array<int>, stops array<int>, items array<string>")
@@ -157,13 +158,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     n_items, items_sha256, contaminated (at least 5 % of the words hit), and the hit word
     spans (starts, stops) and item ids."""
     sc = session_of(docs).sparkContext
-    result = docs
+    result, shared = docs, None
     for k, chunk in enumerate(_chunks(benchmark, item_col, item_text_col, chunk_bytes)):
-        first, more = _scanners(sc.broadcast(Matcher(chunk, window)))
-        if k == 0:
-            result = result.withColumn(out, F.pandas_udf(first, _RESULT)(utf8(text_col)))
-        else:
-            result = stored(result, "decontaminate").withColumn(out, F.pandas_udf(more, _RESULT)(utf8(text_col), F.col(out)))
+        if k:
+            result = stored(result, "decontaminate")
+            shared.destroy()
+        shared = sc.broadcast(Matcher(chunk, window))
+        first, more = _scanners(shared)
+        scan = F.pandas_udf(more, _RESULT)(utf8(text_col), F.col(out)) if k else F.pandas_udf(first, _RESULT)(utf8(text_col))
+        result = result.withColumn(out, scan)
     return result
 
 

@@ -1,5 +1,9 @@
 """Sparse linear models over hashed word n-grams: feature hashing, FTRL-proximal training,
-scoring as sparse dot products.  Used inside tasks; Spark deals out the rows."""
+scoring as sparse dot products.  Used inside tasks; Spark deals out the rows.
+
+Edge cases: a text without words has no n-grams and scores the sigmoid of the bias; words of any length
+are hashed whole; no rows leave all weights 0.
+"""
 
 from __future__ import annotations
 
@@ -14,6 +18,7 @@ _SHAPES = bytes.maketrans(bytes(range(256)), bytes(
     for b in range(256)))
 _RUN = re.compile(rb"(.)\1+", re.S)
 _CACHE_WORDS = 300_000
+_CACHE_BYTES = 64       # longer words are known by a digest, so that the count bounds the bytes too
 SCALE = 20.0            # weight of all n-grams of a text together
 
 
@@ -29,9 +34,21 @@ class _Words(dict):
         self._new.append(self._hashes(word))
         return at
 
+    def _digested(self, word: bytes) -> bytes:
+        """The word as a key; a long one by its digest (with a blank, which no word has) and hashed at once."""
+        if len(word) <= _CACHE_BYTES:
+            return word
+        key = b" " + xxhash.xxh3_128_digest(word)
+        if key not in self:
+            self[key] = len(self)
+            self._new.append(self._hashes(word))
+        return key
+
     def lookup(self, words: list[bytes]) -> np.ndarray:
         if len(self) > _CACHE_WORDS:
             self.clear()
+        if len(max(words, key=len)) > _CACHE_BYTES:
+            words = list(map(self._digested, words))
         at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         if self._new:
             while len(self._table) < len(self):

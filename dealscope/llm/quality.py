@@ -2,9 +2,9 @@
 follow-the-regularised-leader updates, scored as sparse dot products.
 
 Training takes the labelled documents whose crc32(doc_id) mod 4 is not 2 and of these a hash
-sample of about ``max_rows`` (a documented bound; only the fit is sampled).  The sample is
-dealt over replicas of at most about ``ROWS_PER_REPLICA`` rows, each runs FTRL over its rows
-in hash order, and the weights are averaged.  Only non-zero weights reach the driver.
+sample of about ``max_rows`` (a documented bound; only the fit is sampled).  The sample's texts become hashed
+features where they are read, and these are dealt over replicas of about ``ROWS_PER_REPLICA`` rows and
+``BYTES_PER_REPLICA`` of text at most; each runs FTRL over its rows in hash order, and the weights are averaged.  Only non-zero weights reach the driver.
 Every document is scored over its whole text.
 
 Edge cases: NULL and empty texts score the sigmoid of the bias; a document without an id is
@@ -27,6 +27,7 @@ from dealscope.llm.linear import Ftrl, NgramHasher, sigmoid
 
 MAX_ROWS = 20_000
 ROWS_PER_REPLICA = 5_000
+BYTES_PER_REPLICA = 32 << 20        # of text; its features take some ten times that in the task
 EPOCHS = 5
 THRESHOLD = 0.7
 _PARAMS = dict(alpha=1.0, l1=0.05, l2=0.1)
@@ -54,27 +55,31 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", text_col
     """Averaged FTRL weights (float32, bias last) over ``2 ** bits`` hashed columns."""
     session_of(docs)
     known = training_labels(labels, label_col, max_rows)
-    n_rows = known.count()
-    replicas = max(1, -(-n_rows // ROWS_PER_REPLICA))
     # known holds about max_rows pairs of numbers at most: a bounded broadcast.
     rows = docs.select("doc_id", utf8(text_col).alias("body")).join(F.broadcast(known), "doc_id")
-    rows = rows.withColumn("at", F.xxhash64("doc_id", "body")) \
-               .withColumn("replica", F.pmod(F.col("at"), F.lit(replicas)).cast("int"))
+    n_rows, n_bytes = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("body"))).first()
+    replicas = max(1, -(-n_rows // ROWS_PER_REPLICA), -(-(n_bytes or 0) // BYTES_PER_REPLICA))
+
+    def hashed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        hasher = NgramHasher(bits)
+        for bodies in batches:
+            yield pd.DataFrame([hasher.row(body) for body in bodies], columns=["index", "value"])
+
+    at = F.xxhash64("doc_id", "body")
+    rows = rows.select("doc_id", "label", at.alias("at"), F.pmod(at, F.lit(replicas)).cast("int").alias("replica"),
+                       F.pandas_udf(hashed, "index array<int>, value array<double>")("body").alias("row"))
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["at", "doc_id"], kind="stable")
-        hasher, model = NgramHasher(bits), Ftrl(1 << bits, **_PARAMS)
-        bias = 1 << bits
-        data = []
-        for body, label in zip(pdf["body"], pdf["label"]):
-            index, value = hasher.row(body)
-            data.append((np.append(index, bias), np.append(value, 1.0), label))
+        model, bias = Ftrl(1 << bits, **_PARAMS), 1 << bits
+        data = [(np.append(index, bias), np.append(value, 1.0), label)
+                for index, value, label in zip(pdf["index"], pdf["value"], pdf["label"])]
         weights = model.fit(data, EPOCHS)
         used = np.flatnonzero(weights)
         return pd.DataFrame({"n": [len(data)], "index": [used.astype(np.int32)], "weight": [weights[used]]})
 
     total, n = np.zeros((1 << bits) + 1), 0
-    for r in rows.select("replica", "at", "doc_id", "body", "label").groupBy("replica") \
+    for r in rows.select("replica", "at", "doc_id", "label", "row.index", "row.value").groupBy("replica") \
                  .applyInPandas(train, "n bigint, index array<int>, weight array<double>").collect():
         total[r["index"]] += r["n"] * np.array(r["weight"])
         n += r["n"]

@@ -1,4 +1,5 @@
 import hashlib
+import pickle
 import random
 import re
 
@@ -83,3 +84,16 @@ def test_edges(spark):
     assert dc.find_contamination(no_docs(spark), bench).collect() == []
     clean = dc.find_contamination(docs, bench.limit(0)).collect()
     assert len(clean) == len(rows) and not any(r.contamination.contaminated for r in clean)
+
+
+def test_default_chunk_bounds_what_is_broadcast(spark):
+    """A benchmark above one chunk: several bounded tables, each far below what a worker has."""
+    rows = [(f"i{k}", " ".join(f"w{(k * 7919 + j * 31) % 50_000}" for j in range(4000))) for k in range(250)]
+    benchmark = spark.createDataFrame(rows, "item_id string, text string")
+    chunks = list(dc._chunks(benchmark, "item_id", "text", dc.CHUNK_BYTES))
+    assert len(chunks) >= 3 and sum(map(len, chunks)) == 250
+    largest = max(chunks, key=lambda c: sum(len(t) for _, t in c))
+    assert len(pickle.dumps(dc.Matcher(largest))) < 60 << 20
+    docs = spark.createDataFrame([(1, rows[7][1]), (2, rows[200][1] + " tail"), (3, "clean words only")], "doc_id bigint, text string")
+    found = dc.find_contamination(docs, benchmark)
+    assert {r.doc_id: r.contamination.contaminated for r in found.collect()} == {1: True, 2: True, 3: False}

@@ -27,6 +27,28 @@ def test_dot_equals_row():
         assert np.isclose(hasher.dot(w, text), w[index] @ value + w[-1])
 
 
+def test_long_words_are_hashed_whole_and_not_kept():
+    """Words of 10 KB, as in text without spaces: same columns as their own hashes give, small cache."""
+    hasher, plain_hasher = NgramHasher(bits=10), NgramHasher(bits=10)
+    rng = np.random.default_rng(3)
+    words = [bytes(rng.integers(97, 123, 10_000, dtype=np.uint8)) for _ in range(40)]
+    for k in range(0, 40, 4):
+        text = b" ".join([b"short", *words[k:k + 4], b"A-1"])
+        own = np.array([plain_hasher._words._hashes(w) for w in text.split()], np.uint64)
+        assert (hasher._words.lookup(text.split()) == own).all()
+        assert (hasher.grams(text) == NgramHasher(bits=10).grams(text)).all()
+    assert sum(map(len, hasher._words)) < 2_000
+
+
+def test_replicas_are_dealt_by_bytes_too(spark, monkeypatch):
+    """Long training texts: more replicas, and a model that still tells the labels apart."""
+    docs = spark.createDataFrame([(i, ("good fine " if i % 2 else "bad poor ") * 2_000 + str(i)) for i in range(60)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    monkeypatch.setattr(quality, "BYTES_PER_REPLICA", 300_000)
+    found = {r.doc_id: r.score for r in quality.classify(docs, labels).collect()}
+    assert min(v for k, v in found.items() if k % 2) > max(v for k, v in found.items() if k % 2 == 0)
+
+
 def test_ftrl_learns_and_l1_keeps_weights_sparse():
     rows = [(np.array([k % 2, 2 + k % 5, 8]), np.ones(3), k % 2) for k in range(200)]
     w = Ftrl(8, alpha=0.5, l1=1.0, l2=0.1).fit(rows, 5)
