@@ -42,7 +42,8 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False).drop("kept")
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False).drop("kept")
+    return found.withColumn("has_repeats", F.col("n_removed") > 0)      # the verdict on the document, stated
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
