@@ -133,6 +133,8 @@ class WordEncoder:
         self._tok = Tokenizer.from_file(path)
         self.id_bytes = 2 if max(self._tok.get_vocab_size(with_added_tokens=True), END_ID + 1) <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.id_bytes}")
+        self._model = self._tok.model
+        self._packs = [struct.Struct(f"<{n}{'H' if self.id_bytes == 2 else 'I'}").pack for n in range(4 * CACHE_BYTES)]
         self._cache = _Cache(self._word)
         spec = json.loads(self._tok.to_str())
         steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
@@ -147,8 +149,8 @@ class WordEncoder:
 
     def _letters(self, word: str) -> bytes:
         """Packed ids of a word of lower-case letters, as the model sees it: one character a byte."""
-        found = self._tok.model.tokenize(word)
-        return struct.pack(f"<{len(found)}{'H' if self.id_bytes == 2 else 'I'}", *[t.id for t in found])
+        ids = [t.id for t in self._model.tokenize(word)]
+        return self._packs[len(ids)](*ids) if len(ids) < len(self._packs) else np.array(ids, self.dtype).tobytes()
 
     def _word(self, word: bytes) -> bytes:
         """Packed ids of a word that the cache does not hold."""
