@@ -13,6 +13,10 @@ Apply: a ``SQLTransformer`` carrying those constants (impute + scale), then
 ``OneHotEncoder(dropLast=True)`` -- dropping exactly the unknown slot, so an
 unseen level encodes as all zeros -- and a ``VectorAssembler``.  The result
 is a plain ``PipelineModel`` that saves and loads with Spark's own writer.
+
+``hash_bits`` replaces the indexed levels by a ``FeatureHasher`` of that many bits: nothing about the
+levels is fitted, so no list of them reaches the driver or the model.  Meant for columns with
+millions of levels and linear models; different levels may share a position.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import (OneHotEncoder, SQLTransformer, StringIndexer,
+from pyspark.ml.feature import (FeatureHasher, OneHotEncoder, SQLTransformer, StringIndexer,
                                 VectorAssembler)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -117,6 +121,20 @@ class FittedFeatures:
         return names
 
 
+class HashedFeatures(FittedFeatures):
+    """Fitted constants and a hasher of the categorical levels."""
+
+    def __init__(self, bits: int, *args):
+        super().__init__(*args)
+        self.bits = bits
+
+    def levels(self, k: int) -> list[str]:
+        raise ValueError("hashed features have no list of levels")
+
+    def feature_names(self) -> list[str]:
+        return [f"hash_{i}" for i in range(1 << self.bits)] + [f"num__{c}" for c in self.numeric]
+
+
 def preprocess_sql(modes: dict, medians: dict, means: dict, stds: dict) -> str:
     parts = ["*"]
     for c, v in modes.items():
@@ -130,7 +148,7 @@ def preprocess_sql(modes: dict, medians: dict, means: dict, stds: dict) -> str:
 
 
 def fit_features(train: DataFrame, categorical: Sequence[str] = CATEGORICAL_FEATURES,
-                 numeric: Sequence[str] = NUMERIC_FEATURES) -> FittedFeatures:
+                 numeric: Sequence[str] = NUMERIC_FEATURES, hash_bits: int | None = None) -> FittedFeatures:
     mode_values = modes(train, categorical)
     meds = medians(train, numeric)
     imputed = train.select(*impute_exprs({}, meds))
@@ -139,6 +157,10 @@ def fit_features(train: DataFrame, categorical: Sequence[str] = CATEGORICAL_FEAT
     stds = {c: sc[f"{c}__std"] for c in numeric}
 
     sql = SQLTransformer(statement=preprocess_sql(mode_values, meds, means, stds))
+    if hash_bits is not None:
+        hasher = FeatureHasher(inputCols=[f"imp__{c}" for c in categorical], outputCol="hashed", numFeatures=1 << hash_bits)
+        assembler = VectorAssembler(inputCols=["hashed", *[f"num__{c}" for c in numeric]], outputCol=FEATURES_COL, handleInvalid="keep")
+        return HashedFeatures(hash_bits, mode_values, meds, means, stds, categorical, numeric, PipelineModel(stages=[sql, hasher, assembler]))
     prepared = sql.transform(train)
     indexer = StringIndexer(inputCols=[f"imp__{c}" for c in categorical],
                             outputCols=[f"idx__{c}" for c in categorical],

@@ -71,10 +71,12 @@ class FittedModel:
         return scored.withColumn(out, vector_to_array(F.col("probability"))[1])
 
 
-def fit_each(trains: list[DataFrame], name: str, label: str = "target", parallelism: int = 2) -> list[FittedModel]:
-    """One model of kind ``name`` per training frame; boosted trees grow together."""
+def fit_each(trains: list[DataFrame], name: str, label: str = "target", parallelism: int = 2, hash_bits: int | None = None) -> list[FittedModel]:
+    """One model of kind ``name`` per training frame; boosted trees grow together (and need indexed levels)."""
+    if name == BOOSTED and hash_bits is not None:
+        raise ValueError("boosted trees split on levels; hashed features have none")
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        features = list(pool.map(fit_features, trains))
+        features = list(pool.map(lambda t: fit_features(t, hash_bits=hash_bits), trains))
         prepared = [f.transform(t) for f, t in zip(features, trains)]
         if name == BOOSTED:
             fitted = boosting.fit_many(list(zip(features, prepared)), label)
@@ -83,8 +85,8 @@ def fit_each(trains: list[DataFrame], name: str, label: str = "target", parallel
     return [FittedModel(name, PipelineModel(stages=f.stages + [m]), f) for f, m in zip(features, fitted)]
 
 
-def fit(train: DataFrame, name: str, label: str = "target") -> FittedModel:
-    return fit_each([train], name, label)[0]
+def fit(train: DataFrame, name: str, label: str = "target", hash_bits: int | None = None) -> FittedModel:
+    return fit_each([train], name, label, hash_bits=hash_bits)[0]
 
 
 def model_frame(mart: DataFrame) -> DataFrame:

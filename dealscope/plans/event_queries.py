@@ -7,8 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import funnel_events, rollup, sampling, snapshots_diff, temporal
-from ..session import ensure_checkpoint_dir
-from ..sources.readers import read_table
+from ..operators import mart as mart_ops
+from ..session import ensure_checkpoint_dir, keep_track
+from ..sources.readers import read_source, read_table
+from ..sources.sinks import write_csv, write_table
 from ..streaming import events as streams
 from . import oracle as O
 from .queries import load_mart, register
@@ -144,6 +146,7 @@ def q_event_funnel(spark, d):
 def _streamed(spark, d, build):
     """Run a stream over the table's files into a folder of its own; windows still open at the end are not in it."""
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    keep_track(spark, base)
     schema = spark.read.parquet(f"{d.rstrip('/')}/events.parquet").schema
     result = build(streams.event_stream(spark, f"{d.rstrip('/')}/event[s].parquet", schema))
     streams.drain(result, f"{base}/sink", f"{base}/state")
@@ -171,6 +174,34 @@ def q_stream_sessions(spark, d):
     return _streamed(spark, d, lambda events: streams.session_windows(events, f"{SESSION_GAP_HOURS} hours", "2 hours"))
 
 
+# ---------------------------------------------------------------- sinks, read back
+_ROUND_TRIP = ("opportunity_id", "sales_agent", "product", "account", "deal_stage", "engage_date", "close_date", "close_value")
+
+
+@register("table_round_trip", O.with_mart(f"SELECT {', '.join(_ROUND_TRIP)}, cycle_days FROM mart"))
+def q_table_round_trip(spark, d):
+    """The mart as a derived table, replaced once (the first content must be gone), partitioned by stage and read back."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    keep_track(spark, path)
+    mart = load_mart(spark, d).select(*_ROUND_TRIP, "cycle_days")
+    write_table(mart.limit(0), path)
+    write_table(mart, path, partition_by=["deal_stage"])
+    return spark.read.parquet(path).select(*mart.columns)
+
+
+@register("csv_round_trip", O.with_mart(f"SELECT {', '.join(_ROUND_TRIP)} FROM mart"))
+def q_csv_round_trip(spark, d):
+    """The fact as a CSV table with quoted names, read back by its header and typed again."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    keep_track(spark, path)
+    fact = load_mart(spark, d).select(*reversed(_ROUND_TRIP))       # another column order: the header counts
+    quoted = F.concat(F.lit('"'), F.col("product"), F.lit('", "'), F.col("product"))
+    write_csv(fact.withColumn("product", quoted), path)
+    back = read_source(spark, "sales_pipeline", path, "csv")
+    typed = back.select("opportunity_id", "sales_agent", "product", "account", "deal_stage", *mart_ops.typed_fact(back)[-3:])
+    return typed.withColumn("product", F.regexp_extract("product", '^"(.*)", "\\1$', 1))
+
+
 # ---------------------------------------------------------------- roll-ups
 @register("outcome_cube", O.with_mart("""
 SELECT grouping(regional_office, product, sector)::BIGINT AS level, regional_office, product, sector, count(*) AS deals, count_if(won = 1) AS won,

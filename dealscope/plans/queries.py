@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from ..operators import mart as mart_ops
 from ..operators import stall
-from ..sources.readers import table_version
-from ..sources.snapshots import snapshot_mart, snapshot_sources
+from ..sources.readers import table_versions
+from ..sources.snapshots import release_orders, snapshot_mart, snapshot_sources, stored_orders
 from . import oracle as O
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,19 +47,20 @@ def load_mart(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     :func:`release_marts` drops all.  Lost cached blocks are recomputed from lineage."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"),
            tuple(sorted((k, repr(v)) for k, v in kw.items())))
-    version = tuple(table_version(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in MART_TABLES)
+    version = table_versions(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in MART_TABLES])
     hit = _MARTS.get(key)
     if hit is not None and hit[1].sparkSession is spark and hit[0] == version:
         return hit[1]
     if hit is not None and hit[1].sparkSession is spark:
         hit[1].unpersist(blocking=False)
-    mart = snapshot_mart(spark, sf_dir, **kw).persist(StorageLevel.MEMORY_AND_DISK)
+    mart = snapshot_mart(spark, sf_dir, orders=stored_orders(spark, sf_dir), **kw).persist(StorageLevel.MEMORY_AND_DISK)
     _MARTS[key] = (version, mart)
     return mart
 
 
 def release_marts() -> None:
-    """Drop every cached mart."""
+    """Drop every cached mart and forget the stored orders."""
+    release_orders()
     while _MARTS:
         _MARTS.popitem()[1][1].unpersist(blocking=False)
 

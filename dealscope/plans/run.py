@@ -28,6 +28,8 @@ def main(argv=None) -> dict:
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--sf", help="directory with the driver's parquet tables")
     src.add_argument("--csv", help="directory with the four source CSV files")
+    ap.add_argument("--split-csv", action="store_true",
+                    help="no quoted line breaks in the CSV files: large ones are read by many tasks")
     ap.add_argument("--out", required=True)
     ap.add_argument("--master", default=None)
     ap.add_argument("--skip-train", action="store_true")
@@ -41,7 +43,8 @@ def main(argv=None) -> dict:
         sources = snapshot_sources(spark, args.sf)
     else:
         sources = read_sources(spark, {n: os.path.join(args.csv, f"{n}.csv") for n in
-                                       ("sales_pipeline", "accounts", "products", "sales_teams")})
+                                       ("sales_pipeline", "accounts", "products", "sales_teams")},
+                               multi_line=not args.split_csv)
     out = args.out.rstrip("/")
     tables = build_warehouse(spark, sources, f"{out}/warehouse")
     mart = materialize(tables["mart_opportunities"])

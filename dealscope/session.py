@@ -10,7 +10,10 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -76,6 +79,48 @@ def materialize(df: DataFrame, reliable: bool = True) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it back: a lineage cut that
+    later reads prune by column.  The folder lasts until :func:`drop_scratch` or the end of the
+    :func:`scratch` block that it was written in."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    keep_track(spark, path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def keep_track(spark: SparkSession, path: str) -> None:
+    """Note a scratch folder for deletion."""
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+
+
+def drop_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete the scratch folders of this application (from the ``since``-th on).  Results that read
+    from them must have been consumed."""
+    paths = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    while len(paths) > since:
+        drop_path(spark, paths.pop())
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is written to scratch inside the block when it ends, also on errors: consume results inside."""
+    since = len(_SCRATCH.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        drop_scratch(spark, since)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -36,31 +36,20 @@ def read_source(spark: SparkSession, name: str, path: str, fmt: str = "csv", mul
     raise ValueError(f"unsupported format {fmt!r}")
 
 
-def read_sources(spark: SparkSession, paths: dict[str, str], fmt: str = "csv") -> dict[str, DataFrame]:
+def read_sources(spark: SparkSession, paths: dict[str, str], fmt: str = "csv", multi_line: bool = True) -> dict[str, DataFrame]:
     """Read the four sources named ``sales_pipeline``, ``accounts``, ``products``
-    and ``sales_teams``."""
-    return {name: read_source(spark, name, path, fmt) for name, path in paths.items()}
+    and ``sales_teams``; ``multi_line`` as in :func:`read_source`."""
+    return {name: read_source(spark, name, path, fmt, multi_line) for name, path in paths.items()}
 
 
-_TABLES: dict[tuple, DataFrame] = {}
-
-
-def table_version(spark: SparkSession, path: str) -> tuple:
-    """Modification time and length of a table's file or folder, through Spark's file system:
-    a rewritten table has another version."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    status = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(hadoop_path)
-    return status.getModificationTime(), status.getLen()
+def table_versions(spark: SparkSession, paths: list[str]) -> tuple:
+    """What tells a rewritten table from the one before: number, bytes and a hash of (path, time, length) of
+    all files, nested ones included, listed by Spark itself."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    found = files.agg(F.count(F.lit(1)), F.sum("length"), F.sum(F.xxhash64("path", "modificationTime", "length").cast("decimal(38,0)"))).first()
+    return tuple(found)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one of the driver's parquet tables.  The relation (file listing and footer
-    schema) is resolved once per application, path and version of the table, as a catalog
-    table would be."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    version = table_version(spark, path)
-    hit = _TABLES.get(key)
-    if hit is None or hit[0] != version or hit[1].sparkSession is not spark:
-        hit = _TABLES[key] = (version, spark.read.parquet(path))
-    return hit[1]
+    """Read one of the driver's parquet tables, listed anew on every call."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -55,6 +55,35 @@ def test_one_exchange_on_the_line_items_and_one_join_per_dimension(spark):
     assert "CartesianProduct" not in tree
 
 
+def test_line_items_are_read_once_for_all_marts(spark):
+    """Subqueries included, no mart plan scans the line items: they read the stored orders."""
+    from dealscope.plans.queries import release_marts
+    from dealscope.sources import snapshots
+    release_marts()
+    orders = snapshots.stored_orders(spark, SF_SMALL)
+    for kw in ({}, {"snapshot": "2001-12-31"}):
+        mart = snapshots.snapshot_mart(spark, SF_SMALL, orders=orders, **kw)
+        plan = mart._jdf.queryExecution().executedPlan().toString()
+        assert "l_orderkey" not in plan and plan.count("o_orderpriority") > 0
+    fact = snapshots.snapshot_sources(spark, SF_SMALL)["sales_pipeline"]
+    assert "l_orderkey" not in fact._jdf.queryExecution().executedPlan().toString()
+    once = snapshots.orders_with_lines(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert sum("FileScan" in ln and "l_orderkey" in ln for ln in once.splitlines()) == 1
+    assert snapshots.stored_orders(spark, SF_SMALL) is orders
+    assert orders.exceptAll(snapshots.orders_with_lines(spark, SF_SMALL)).isEmpty()
+
+
+def test_scratch_is_deleted_after_its_block(spark):
+    import os
+    from dealscope.session import ensure_checkpoint_dir, scratch, written
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(base))
+    with scratch(spark):
+        kept = written(spark.range(10).toDF("n"), "trial")
+        assert kept.count() == 10 and len(set(os.listdir(base)) - before) == 1
+    assert set(os.listdir(base)) <= before
+
+
 def test_snapshot_mart_equals_the_name_joins(spark):
     from dealscope.operators.mart import build_mart
     from dealscope.sources.snapshots import snapshot_mart, snapshot_sources

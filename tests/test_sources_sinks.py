@@ -81,6 +81,19 @@ def test_rewritten_table_is_read_again(spark, scratch):
         assert read_table(spark, scratch, "t").count() == n
 
 
+def test_versions_see_nested_files(spark, scratch):
+    """A file rewritten deep inside a partitioned folder gives another version, whatever the folder's own time."""
+    from dealscope.sources.readers import table_versions
+    path = os.path.join(scratch, "t.parquet")
+    spark.range(6).selectExpr("id", "id % 2 AS k").write.partitionBy("k").parquet(path)
+    stamp = os.stat(path)
+    before = table_versions(spark, [path])
+    assert table_versions(spark, [path]) == before
+    spark.range(9).select("id").write.mode("overwrite").parquet(os.path.join(path, "k=1"))
+    os.utime(path, ns=(stamp.st_atime_ns, stamp.st_mtime_ns))
+    assert table_versions(spark, [path]) != before
+
+
 def test_metrics_round_trip(spark, scratch):
     m = {"a": 1, "b": 0.5, "c": "x", "nested": {"k": {"v": 1.5}}}
     write_metrics(spark, m, os.path.join(scratch, "m"))
