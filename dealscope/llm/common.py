@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealscope.session import ensure_checkpoint_dir, ship_package
+from dealscope.session import ship_package, written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,12 +38,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
     Cuts lineage: what follows survives the loss of executors without running
-    the expensive part again.
+    the expensive part again.  ``session.scratch`` deletes such folders at the end of its block.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, label)
 
 
 def width(spark: SparkSession) -> int:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealscope.llm.common import session_of, stored, utf8, width
-from dealscope.session import ensure_checkpoint_dir
+from dealscope.session import ensure_checkpoint_dir, keep_track
 
 LENGTH = 400
 REACH = 240
@@ -127,6 +127,7 @@ class IndexFamily:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.folder = f"{ensure_checkpoint_dir(spark)}/suffixes-{uuid.uuid4().hex}"
+        keep_track(spark, self.folder)
         self.levels: dict[int, DataFrame] = {}
         self.matches: list[DataFrame] = []
         self._writes = 0

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dealscope.llm.common import fresh, session_of, utf8, width
-from dealscope.session import ensure_checkpoint_dir
+from dealscope.session import ensure_checkpoint_dir, keep_track
 
 END_ID = 1
 SHARD_BYTES = 16 << 20
@@ -288,5 +288,6 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Write the token table into the shared folder and read it back."""
     spark = docs.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    keep_track(spark, path)
     write_tokens(docs, tokenizer, path)
     return read_tokens(spark, path)

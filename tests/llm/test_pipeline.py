@@ -112,3 +112,19 @@ def test_run_against_a_plain_chain(spark, tmp_path):
     ids = sorted(r.doc_id for r in mixed for _ in range(r.copies))
     got = plain(pipeline.run(spark, folder), "doc_id", "start", "n_tokens", "ids_crc32")
     assert sorted(got) == sorted(expected([(d, texts[d]) for d in ids]))
+
+
+def test_scratch_goes_when_the_result_is_consumed(spark):
+    """What the operators store is gone at the end of the block in which their result is read."""
+    import os
+
+    from dealscope.llm.queries import op6_suffix_dedup, op8_token_output
+    from dealscope.session import ensure_checkpoint_dir, scratch
+    base = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(base))
+    with scratch(spark):
+        for query in (op6_suffix_dedup, op8_token_output):
+            assert query(spark, SF2).count() > 0
+        assert len(set(os.listdir(base)) - before) >= 3
+    left = set(os.listdir(base)) - before
+    assert not [name for name in left if name.startswith(("suffix", "tokens"))]
