@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from ..session import materialize, ship_package
 
 CHECKPOINT_TREES = 10
+FEW_PARTS = 64                  # up to so many partial sums go to the driver without a tree of tasks
 _UNIT = float(1 << 30)          # gradients are whole numbers of 1 / _UNIT
 _SPECULATE = 16                 # nodes asked for beyond those that growth waits for
 _ROOT = 1                       # children of node i: 2 i (left) and 2 i + 1
@@ -120,7 +121,11 @@ class _Lockstep:
 
     def _keep(self, blocks: DataFrame) -> None:
         old, self.blocks = self._kept, materialize(blocks)
-        self._kept = self.blocks.rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = self.blocks.rdd
+        # Tiny partitions would cost more to start than to sum: two per core at most.
+        rows = rows.coalesce(min(rows.getNumPartitions(), 2 * rows.context.defaultParallelism))
+        self._kept = rows.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
+        self._depth = 1 if self._kept.getNumPartitions() <= FEW_PARTS else 2
         if old is not None:
             old.unpersist()
 
@@ -154,7 +159,7 @@ class _Lockstep:
                 a[key] = a[key] + value if key in a else value
             return a
 
-        return self._kept.treeAggregate({}, add, join)
+        return self._kept.treeAggregate({}, add, join, self._depth)
 
     def best(self, partial: dict[int, dict[int, tuple[int, int]]], wanted: dict[int, set[int]]) -> dict[tuple[int, int], Split]:
         """Best split of every wanted node that has rows (gain 0 where none is allowed)."""
