@@ -11,11 +11,12 @@ Logarithmic index family (:class:`IndexFamily`).  The suffixes of a batch of doc
 one sorted run of entries (key: hash of the shared bytes; ctx: hash of all bytes that the run's
 strings cover; how often; one place).  A new batch is merge-scanned against every existing
 level for keys that both hold, that is, long matches; then equal-sized levels merge, so that
-level k holds 2 ** k batches.
+level k holds 2 ** k batches.  The number of batches follows from the bytes of the input.  A family
+kept in a shared folder takes further batches in later runs.
 
-Resolution.  A run whose ctx occurs twice is covered wholly.  Runs that share only their key
+Resolution.  A run whose key and ctx (128 bits together) occur twice is covered wholly.  Runs that share only their key
 overlap in part: their bytes are fetched, dealt out by key, and compared string by string
-with column-wise hashes.  A key with more than ``HOT`` different runs goes string by string
+with two column-wise 64-bit hashes.  A key with more than ``HOT`` different runs goes string by string
 through an aggregation instead, so that no task holds an unbounded group.
 
 Edge cases: NULL is the empty text; texts shorter than ``length`` lose nothing; overlapping
@@ -38,15 +39,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealscope.llm.common import session_of, stored, utf8, width
-from dealscope.session import ensure_checkpoint_dir, keep_track
+from dealscope.session import drop_path, ensure_checkpoint_dir, keep_track
 
 LENGTH = 400
 REACH = 240
-BATCHES = 2
+BATCH_BYTES = 1 << 44       # text of a batch at most, but for hashing; a batch costs one more read of the input
+MIN_BATCHES = 2             # so that every input is merge-scanned against a level
 HOT = 20_000
 _GRAM = 8
 _PIECE = 1 << 21            # bytes handled at once in a task
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_ENTRY = "key bigint, ctx bigint, n bigint, place bigint"
+_MANIFEST = "batches int, length int, reach int, levels array<struct<level: int, path: string>>, matches array<string>"
 _RESULT = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
 
 
@@ -122,21 +126,43 @@ def suffixes(docs: DataFrame, length: int, reach: int) -> DataFrame:
 # ---------------------------------------------------------------- the index family
 
 class IndexFamily:
-    """Levels of sorted suffix entries; level k holds 2 ** k batches (a binary counter)."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.folder = f"{ensure_checkpoint_dir(spark)}/suffixes-{uuid.uuid4().hex}"
-        keep_track(spark, self.folder)
+    """Levels of sorted suffix entries; level k holds 2 ** k batches (a binary counter).
+
+    With ``folder``, a shared one, the family is kept there and :meth:`open` finds it again: a
+    later run adds its batches to the stored levels.  Batches count once :meth:`commit` has written
+    its line of the manifest, so a run that fails before leaves the family as it was (and some files
+    that nothing refers to).  Without ``folder`` it is scratch.
+    """
+
+    def __init__(self, spark: SparkSession, length: int = LENGTH, reach: int = REACH, folder: str | None = None):
+        self.spark, self.length, self.reach = spark, length, reach
+        self.stored = folder is not None
+        self.folder = folder or f"{ensure_checkpoint_dir(spark)}/suffixes-{uuid.uuid4().hex}"
+        if not self.stored:
+            keep_track(spark, self.folder)
         self.levels: dict[int, DataFrame] = {}
         self.matches: list[DataFrame] = []
-        self._writes = 0
-
-    def _written(self, entries: DataFrame) -> DataFrame:
-        self._writes += 1
-        path = f"{self.folder}/run-{self._writes}"
-        entries.sortWithinPartitions("key").write.parquet(path)
-        return self.spark.read.schema(entries.schema).parquet(path)
+        self._level_paths: dict[int, str] = {}
+        self._match_paths: list[str] = []
+        self._replaced: list[str] = []
+        self._batches = 0
+
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> IndexFamily:
+        """The family kept in ``folder``, as its last complete batch left it."""
+        manifest = spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
+        last = manifest.orderBy(F.desc("batches")).first()      # one line per batch
+        family = cls(spark, last["length"], last["reach"], folder)
+        family._batches, family._match_paths = last["batches"], list(last["matches"])
+        family._level_paths = {r["level"]: r["path"] for r in last["levels"]}
+        family.levels = {k: spark.read.schema(_ENTRY).parquet(f"{folder}/{x}") for k, x in family._level_paths.items()}
+        family.matches = [spark.read.schema("key bigint").parquet(f"{folder}/{x}") for x in family._match_paths]
+        return family
+
+    def _written(self, rows: DataFrame, label: str) -> tuple[str, DataFrame]:
+        name = f"{label}-{uuid.uuid4().hex}"
+        rows.sortWithinPartitions("key").write.parquet(f"{self.folder}/{name}")
+        return name, self.spark.read.schema(rows.schema).parquet(f"{self.folder}/{name}")
 
     @staticmethod
     def _entries(rows: DataFrame) -> DataFrame:
@@ -145,17 +171,30 @@ class IndexFamily:
     def add(self, runs: DataFrame) -> None:
         """Index a batch: build its suffix array, merge-scan it against each level, merge levels
         of equal size."""
-        new = self._written(self._entries(
-            runs.select("key", "ctx", F.lit(1).cast("bigint").alias("n"), F.xxhash64("doc_id", "body", "s").alias("place"))))
-        own = new.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
-        self.matches.append(own)
+        name, new = self._written(self._entries(
+            runs.select("key", "ctx", F.lit(1).cast("bigint").alias("n"), F.xxhash64("doc_id", "body", "s").alias("place"))), "run")
+        found = new.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
         for level in self.levels.values():
-            self.matches.append(new.select("key").join(level.select("key"), "key", "left_semi"))
+            found = found.unionByName(new.select("key").join(level.select("key"), "key", "left_semi"))
+        match_name, match = self._written(found, "match")
+        self._match_paths.append(match_name)
+        self.matches.append(match)
         k = 0
         while k in self.levels:
-            new = self._written(self._entries(new.unionByName(self.levels.pop(k))))
+            self._replaced += [name, self._level_paths.pop(k)]
+            name, new = self._written(self._entries(new.unionByName(self.levels.pop(k))), "run")
             k += 1
-        self.levels[k] = new
+        self.levels[k], self._level_paths[k] = new, name
+        self._batches += 1
+
+    def commit(self) -> None:
+        """Make the batches added so far count, then delete the runs that merges have replaced."""
+        if self.stored:
+            levels = [(k, x) for k, x in sorted(self._level_paths.items())]
+            line = (self._batches, self.length, self.reach, levels, self._match_paths)
+            self.spark.createDataFrame([line], _MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.folder}/manifest")
+        while self._replaced:
+            drop_path(self.spark, f"{self.folder}/{self._replaced.pop()}")
 
     def matched(self) -> DataFrame:
         """Entries of all keys with a match: key, ctx, n, place, n_ctx (different runs of the key),
@@ -202,23 +241,23 @@ def equal_strings(key: np.ndarray, content: list[bytes], back: np.ndarray, run:
     before the anchor, of whether the string there equals another row's."""
     n = len(key)
     rng = np.random.default_rng(11)
-    factor = rng.integers(0, 1 << 63, length + reach, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    factors = rng.integers(0, 1 << 63, (2, length + reach, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     grid = np.zeros((length + reach, n), np.uint8)      # column by column; the anchor at ``reach``
     for i, (c, b) in enumerate(zip(content, back)):
         grid[reach - b:reach - b + len(c), i] = np.frombuffer(c, np.uint8)
     group = np.cumsum(np.concatenate(([0], key[1:] != key[:-1])))
-    h = np.zeros(n, np.uint64)
+    h = np.zeros((2, n), np.uint64)             # two independent hashes of each row's string
     for col in range(reach, reach + length):
-        h += grid[col] * factor[col]
+        h += grid[col] * factors[:, col]
     equal = np.zeros((n, reach), bool)
     for d in range(reach):
         if d:
-            h = h + grid[reach - d] * factor[reach - d] - grid[reach - d + length] * factor[reach - d + length]
+            h = h + grid[reach - d] * factors[:, reach - d] - grid[reach - d + length] * factors[:, reach - d + length]
         at = np.flatnonzero((d <= back) & (d > back - run))
         if len(at) < 2:
             continue
-        at = at[np.lexsort((h[at], group[at]))]
-        same = (group[at[1:]] == group[at[:-1]]) & (h[at[1:]] == h[at[:-1]])
+        at = at[np.lexsort((h[1, at], h[0, at], group[at]))]
+        same = (group[at[1:]] == group[at[:-1]]) & (h[:, at[1:]] == h[:, at[:-1]]).all(axis=0)
         equal[at[1:][same], d] = equal[at[:-1][same], d] = True
     return equal
 
@@ -272,14 +311,31 @@ def _partial_spans(opened: DataFrame, length: int, reach: int) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, reach: int = REACH,
-                   batches: int = BATCHES, hot: int = HOT, keep_text: bool = True) -> DataFrame:
+                   batches: int | None = None, hot: int = HOT, keep_text: bool = True,
+                   family: IndexFamily | None = None, added: DataFrame | None = None) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and ``kept``, the
-    bytes that are left (NULL without ``keep_text``)."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), utf8(text_col).alias("data"))
-    rows = rows.withColumn("body", F.xxhash64("data"))
-    family = IndexFamily(docs.sparkSession)
+    bytes that are left (NULL without ``keep_text``).
+
+    With ``family``, one that holds documents already, ``added`` are the rows of ``docs`` that it
+    does not hold: only those are indexed, and the result is that of all ``docs``, the older ones
+    included, which lose what the new ones repeat.  Length and reach are the family's then.  All
+    batches of ``added`` are committed together, before the result is computed: to compute a result
+    again, pass an empty ``added``.
+    """
+    def prepared(df: DataFrame) -> DataFrame:
+        return df.select(F.col(id_col).cast("bigint").alias("doc_id"), utf8(text_col).alias("data")).withColumn("body", F.xxhash64("data"))
+
+    rows = prepared(docs)
+    new = rows if added is None else prepared(added)
+    if family is None:
+        family = IndexFamily(docs.sparkSession, length, reach)
+    length, reach = family.length, family.reach
+    if batches is None:
+        size = new.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+        batches = max(MIN_BATCHES, -(-size // BATCH_BYTES))
     for k in range(batches):
-        family.add(suffixes(rows.where(F.pmod(F.xxhash64("doc_id", "body"), F.lit(batches)) == k), length, reach))
+        family.add(suffixes(new.where(F.pmod(F.xxhash64("doc_id", "body"), F.lit(batches)) == k), length, reach))
+    family.commit()
     known = family.matched().where("n > 1 OR n_ctx > 1").select(
         "key", "ctx", (F.col("n") > 1).alias("full"), ((F.col("n") > 1) & (F.col("least") == 1)).alias("share"),
         F.col("place"), (F.col("n_ctx") > hot).alias("hot"))

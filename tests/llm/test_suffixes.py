@@ -36,7 +36,7 @@ def passages(seed, n=60):
     return texts + [texts[0], "a" * 90, "ab" * 30, "", "x"]
 
 
-@pytest.mark.parametrize("seed, batches, hot", [(1, 1, 10 ** 6), (2, 2, 10 ** 6), (3, 5, 10 ** 6), (4, 2, 0), (5, 3, 4)])
+@pytest.mark.parametrize("seed, batches, hot", [(1, 1, 10 ** 6), (2, 2, 10 ** 6), (3, 5, 10 ** 6), (6, 8, 10 ** 6), (4, 2, 0), (5, 3, 4)])
 def test_against_brute_force(spark, seed, batches, hot):
     texts = passages(seed)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
@@ -105,3 +105,57 @@ def test_repeated_rows_give_their_runs_once(spark, monkeypatch):
     want = [(d, *x) for (d, _), x in zip(rows, brute([t.encode() for _, t in rows], 20))]
     assert ordered(plain(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) == ordered(want)
     assert 0 < opened[0] < 60
+
+
+def test_stored_family_takes_later_batches(spark, tmp_path):
+    texts = passages(9)
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    folder = str(tmp_path / "family")
+    for low, high in ((0, 30), (30, 45), (45, len(rows))):
+        have = docs.where(f"doc_id < {high}")
+        added = docs.where(f"doc_id >= {low} AND doc_id < {high}")
+        family = suffixes.IndexFamily.open(spark, folder) if low else suffixes.IndexFamily(spark, 20, 9, folder)
+        got = suffixes.remove_repeats(have, batches=1, family=family, added=added).orderBy("doc_id").collect()
+        assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == brute([t.encode() for _, t in rows[:high]], 20)
+    family = suffixes.IndexFamily.open(spark, folder)
+    assert sorted(family.levels) == [0, 1] and len(family.matches) == 3
+    assert len(list((tmp_path / "family").glob("run-*"))) == 2       # replaced runs are gone
+
+
+def test_failed_batch_leaves_the_stored_family(spark, tmp_path, monkeypatch):
+    texts = passages(10)
+    docs = spark.createDataFrame([(i, t.encode(), i) for i, t in enumerate(texts)], "doc_id bigint, data binary, body bigint")
+    folder = str(tmp_path / "family")
+    family = suffixes.IndexFamily(spark, 20, 9, folder)
+    family.add(suffixes.suffixes(docs.where("doc_id < 30"), 20, 9))
+    family.commit()
+    before = {r.key for r in family.matched().collect()}
+    written = family._written
+
+    def broken(rows, label):
+        if label == "match":
+            raise RuntimeError("lost")
+        return written(rows, label)
+
+    monkeypatch.setattr(family, "_written", broken)
+    with pytest.raises(RuntimeError):
+        family.add(suffixes.suffixes(docs.where("doc_id >= 30"), 20, 9))
+    suffixes.IndexFamily.open(spark, folder).add(suffixes.suffixes(docs.where("doc_id >= 30"), 20, 9))      # not committed
+    again = suffixes.IndexFamily.open(spark, folder)
+    assert {r.key for r in again.matched().collect()} == before
+    again.add(suffixes.suffixes(docs.where("doc_id >= 30"), 20, 9))
+    whole = suffixes.suffixes(docs, 20, 9).groupBy("key").count().where("count > 1")
+    assert {r.key for r in again.matched().collect()} == {r.key for r in whole.collect()}
+
+
+def test_batches_follow_the_bytes(spark, monkeypatch):
+    texts = passages(11)
+    monkeypatch.setattr(suffixes, "BATCH_BYTES", sum(len(t.encode()) for t in texts) // 4)
+    added = []
+    add = suffixes.IndexFamily.add
+    monkeypatch.setattr(suffixes.IndexFamily, "add", lambda self, runs: added.append(1) or add(self, runs))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = suffixes.remove_repeats(docs, length=20, reach=9).orderBy("doc_id").collect()
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == brute([t.encode() for t in texts], 20)
+    assert len(added) in (4, 5)
