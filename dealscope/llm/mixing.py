@@ -4,7 +4,9 @@ Every document i gets a rate r_i, its expected copies, closest to 1 in relative
 (minimising the sum of r log r - r) subject to the words of each source meeting its target
 and r_i <= CAP.  The optimum is an exponential tilt r_i = min(CAP, exp(lambda_s * size_i /
 scale_s)); the dual variables lambda come from distributed Newton iterations over the
-(source, size) histogram, kept inside a bracket.  A source whose target is CAP times its size
+(source, size) histogram, kept inside a bracket.  Steps that have not met a target after
+``NEWTON_STEPS`` halve the bracket instead, which meets any target; a mix that is still open after
+``MAX_STEPS`` fails rather than being rounded.  A source whose target is CAP times its size
 takes CAP copies of everything.  Rates are then rounded into whole copies: cells of equal
 source and size are visited from the largest size down and each takes the whole number of
 extra copies that leaves the smallest error in words, which the next cell carries on; within
@@ -33,7 +35,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5             # words of the mix per word of the input
 CAP = 2                 # copies of a document, and target per word of a source
 TOLERANCE = 1e-6
-MAX_STEPS = 60
+NEWTON_STEPS = 40
+MAX_STEPS = 160
 BUCKET_ROWS = 4096
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -83,7 +86,7 @@ def balance(cells: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFrame:
     state = materialize(state)
     z = F.col("size") / F.col("scale")
     tilt = F.exp(F.least(F.col("lam") * z, F.lit(50.0)))
-    for _ in range(MAX_STEPS):
+    for step in range(MAX_STEPS):
         open_ = state.where(~F.col("done")).withColumnRenamed("source", "_s")
         sums = (cells.join(open_, F.col("source").eqNullSafe(F.col("_s")))
                 .groupBy("source").agg(
@@ -94,7 +97,7 @@ def balance(cells: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFrame:
         low = F.when(gap < 0, F.col("lam")).otherwise(F.col("low"))
         high = F.when(gap > 0, F.col("lam")).otherwise(F.col("high"))
         newton = F.col("lam") - F.try_divide(gap, F.col("slope"))
-        inside = (F.col("slope") > 0) & (F.col("low").isNull() | (newton > F.col("low"))) \
+        inside = F.lit(step < NEWTON_STEPS) & (F.col("slope") > 0) & (F.col("low").isNull() | (newton > F.col("low"))) \
             & (F.col("high").isNull() | (newton < F.col("high")))
         middle = F.when(F.col("low").isNull(), F.col("high") * 2 - 1).when(F.col("high").isNull(), F.col("low") * 2 + 1) \
                   .otherwise((F.col("low") + F.col("high")) / 2)
@@ -104,8 +107,8 @@ def balance(cells: DataFrame, goals: DataFrame, cap: int = CAP) -> DataFrame:
         moved = moved.withColumn("lam", F.when(F.col("done") | F.col("met"), F.col("lam")).otherwise(F.when(inside, newton).otherwise(middle)))
         state = materialize(moved.withColumn("done", F.col("done") | F.col("met")).select(*state.columns))
         if state.where(~F.col("done")).isEmpty():
-            break
-    return state.select("source", "source_size", "target", "scale", "lam")
+            return state.select("source", "source_size", "target", "scale", "lam")
+    raise RuntimeError(f"entropy balancing has not met every target after {MAX_STEPS} steps")
 
 
 def rates(cells: DataFrame, duals: DataFrame, cap: int = CAP) -> DataFrame:

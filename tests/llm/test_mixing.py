@@ -56,6 +56,20 @@ def test_taken_meets_targets(spark):
     assert ordered((r.doc_id, r.taken) for r in rows) == ordered(plain(again, "doc_id", "taken"))
 
 
+def test_targets_are_met_without_newton_steps(spark, monkeypatch):
+    docs = table(spark, SF2, "documents")
+    newton = {r.source: r.rate for r in mixing.mix(docs).where("size = 20").collect()}
+    monkeypatch.setattr(mixing, "NEWTON_STEPS", 0)
+    halved = {r.source: r.rate for r in mixing.mix(docs).where("size = 20").collect()}
+    assert newton.keys() == halved.keys() and all(abs(newton[s] - halved[s]) < 1e-4 for s in newton)
+
+
+def test_a_mix_that_misses_its_targets_fails(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_STEPS", 1)
+    with pytest.raises(RuntimeError, match="entropy balancing"):
+        mixing.mix(table(spark, SF2, "documents"))
+
+
 def test_tilt_is_exponential_and_capped(spark):
     rows = mixing.mix(table(spark, SF2, "documents")).where("size > 0 AND target < 2 * source_size").collect()
     import math
