@@ -4,7 +4,9 @@ The chain predicts its categories one after the other; each linear model also ge
 probabilities of all earlier categories.  For training these are out-of-fold predictions: every
 training row's probability comes from a model that did not see the row.  The labels hold one
 toxicity flag; its categories are the flag within each language of the training documents (in
-name order) and, last, the flag itself, which is the verdict.
+name order) and, last, the flag itself, which is the verdict.  Beyond ``MAX_GROUPS`` languages those
+with fewer positive rows share one category, so that the model's size has a bound.  Folds go by a hash
+of the text alone, so equal texts under different ids are never on both sides.
 
 Training takes labelled documents whose crc32(doc_id) mod 4 is not 2 and of these a hash
 sample of about ``max_rows`` (a documented bound; only the fit is sampled).  Each round of the
@@ -37,6 +39,7 @@ MAX_ROWS = 10_000
 BITS = 19
 FOLDS = 3
 EPOCHS = 6
+MAX_GROUPS = 12         # categories beside the rest and the flag itself; each has a row of weights
 THRESHOLD = 0.5
 PREFIXES = (4, 5, 6)
 _CACHE_WORDS = 300_000
@@ -112,7 +115,7 @@ def _fit_round(rows: DataFrame, j: int, n: int) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", group_col: str = "lang", max_rows: int = MAX_ROWS) -> Chain:
     """The chain for ``label_col`` within each value of ``group_col`` (values with a positive
-    training label) and overall."""
+    training label; beyond ``MAX_GROUPS`` the rest together) and overall."""
     session_of(docs)
     known = training_labels(labels, label_col, max_rows)
     # About max_rows pairs of numbers at most: a bounded broadcast.
@@ -123,15 +126,25 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", group_col:
         return pd.DataFrame({"columns": pd.Series([c for c, _ in found], dtype="object"),
                              "counts": pd.Series([n for _, n in found], dtype="object")})
 
-    rows = rows.select(F.xxhash64("doc_id", "body").alias("at"), "grp", "label",
+    fold = F.pmod(F.shiftright(F.xxhash64("body"), 20), F.lit(FOLDS)).cast("int")
+    rows = rows.select(F.xxhash64("doc_id", "body").alias("at"), fold.alias("fold"), "grp", "label",
                        F.pandas_udf(hashed, "columns array<bigint>, counts array<bigint>")("body").alias("f"))
-    rows = stored(rows.select("at", "grp", "label", "f.*").dropDuplicates(["at"]), "toxicity-rows")
-    groups = sorted(r.grp for r in rows.where("label = 1 AND grp IS NOT NULL").select("grp").distinct().collect())
-    names = [*(f"{label_col}_{g}" for g in groups), label_col]
-    flags = [*((F.col("label") == 1) & (F.col("grp").eqNullSafe(g)) for g in groups), F.col("label") == 1]
+    rows = stored(rows.select("at", "fold", "grp", "label", "f.*").dropDuplicates(["at"]), "toxicity-rows")
+    positives = rows.where("label = 1 AND grp IS NOT NULL").groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()
+    ranked = [r.grp for r in sorted(positives, key=lambda r: (-r.n, r.grp))]
+    groups = sorted(ranked[:MAX_GROUPS])
+    names = [f"{label_col}_{g}" for g in groups]
+    flags = [(F.col("label") == 1) & F.col("grp").eqNullSafe(g) for g in groups]
+    if len(ranked) > MAX_GROUPS:
+        rest = f"{label_col}_(rest)"
+        while rest in names:
+            rest += "_"
+        names.append(rest)
+        flags.append(F.coalesce((F.col("label") == 1) & ~F.col("grp").isin(groups), F.lit(False)))
+    names.append(label_col)
+    flags.append(F.col("label") == 1)
     rows = rows.select("at", "columns", "counts", F.array(*[f.cast("int") for f in flags]).alias("labels"),
-                       F.pmod(F.shiftright("at", 20), F.lit(FOLDS)).cast("int").alias("fold"),
-                       F.array().cast("array<double>").alias("earlier"))
+                       "fold", F.array().cast("array<double>").alias("earlier"))
     weights = np.zeros((len(names), (1 << BITS) + len(names) + 1), np.float32)
     for j in range(len(names)):
         round_ = stored(_fit_round(rows, j, len(names)), "toxicity-round")

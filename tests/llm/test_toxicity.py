@@ -1,10 +1,14 @@
+import math
 import random
+from collections import defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from dealscope.llm import toxicity
+from dealscope.llm.quality import training_labels
 
-from .helpers import edge_docs, no_docs
+from .helpers import SF, edge_docs, no_docs, table
 
 
 def corpus(spark, n=900):
@@ -48,3 +52,86 @@ def test_edges(spark):
     assert toxicity.classify(no_docs(spark), labels).collect() == []
     none = toxicity.classify(docs, labels.where("toxic = 0"))
     assert all(r.predicted == 0 for r in none.collect())
+
+
+class PlainFtrl:
+    """The update rule feature by feature, over dictionaries; ``free``: inputs without penalties."""
+
+    def __init__(self, free, alpha=1.0, beta=1.0, l1=10.0, l2=0.1):
+        self.free, self.alpha, self.beta, self.l1, self.l2 = free, alpha, beta, l1, l2
+        self.z, self.n = defaultdict(float), defaultdict(float)
+
+    def weight(self, i):
+        l1, l2 = (0.0, 0.0) if i in self.free else (self.l1, self.l2)
+        z = self.z[i]
+        if abs(z) <= l1:
+            return 0.0
+        return -(z - math.copysign(l1, z)) / ((self.beta + math.sqrt(self.n[i])) / self.alpha + l2)
+
+    def predict(self, row):
+        return 1 / (1 + math.exp(-sum(self.weight(i) * v for i, v in row.items())))
+
+    def fit(self, rows, epochs):
+        rng = np.random.default_rng(7)
+        for _ in range(epochs):
+            for k in rng.permutation(len(rows)):
+                row, y = rows[k]
+                error = self.predict(row) - y
+                for i, v in row.items():
+                    w, g = self.weight(i), error * v
+                    self.z[i] += g - (math.sqrt(self.n[i] + g * g) - math.sqrt(self.n[i])) / self.alpha * w
+                    self.n[i] += g * g
+        return self
+
+
+def test_chain_equals_a_plain_chain_on_the_labels(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    chain = toxicity.fit(docs, labels)
+    body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    fold = F.pmod(F.shiftright(F.xxhash64(body), 20), F.lit(3))
+    found = docs.join(training_labels(labels, "toxic", toxicity.MAX_ROWS), "doc_id").select(
+        F.xxhash64("doc_id", body).alias("at"), fold.alias("fold"), body.alias("body"), "lang", "label").orderBy("at").collect()
+    langs = sorted({r.lang for r in found if r.label == 1 and r.lang is not None})
+    assert chain.names == [*(f"toxic_{x}" for x in langs), "toxic"] and len(langs) >= 1
+    rows = []
+    for r in found:
+        row = defaultdict(float)
+        for w in toxicity.words_of(bytes(r.body)):
+            for c in toxicity.columns_of(w):
+                row[c] += 1.0
+        rows.append(dict(row) | {"bias": 1.0})
+    for j, lang in enumerate([*langs, None]):
+        y = [int(r.label == 1 and (lang is None or r.lang == lang)) for r in found]
+        free = {"bias", *(f"p{k}" for k in range(j))}
+        outside = [None] * len(rows)
+        for k in range(3):
+            model = PlainFtrl(free).fit([(x, t) for x, t, r in zip(rows, y, found) if r.fold != k], toxicity.EPOCHS)
+            for i, r in enumerate(found):
+                if r.fold == k:
+                    outside[i] = model.predict(rows[i])
+        model = PlainFtrl(free).fit(list(zip(rows, y)), toxicity.EPOCHS)
+        got, hashed = chain.weights[j], 1 << toxicity.BITS
+        place = {"bias": len(got) - 1} | {f"p{k}": hashed + k for k in range(j)}
+        want = np.zeros(len(got))
+        for i in list(model.z):
+            want[place.get(i, i)] = model.weight(i)
+        assert np.allclose(got, want, atol=1e-4)
+        for row, p in zip(rows, outside):
+            row[f"p{j}"] = p
+
+
+def test_equal_texts_share_a_fold_and_rare_languages_a_category(spark, monkeypatch):
+    docs, labels = corpus(spark, 300)
+    twins = docs.unionByName(docs.withColumn("doc_id", F.col("doc_id") + 1000))
+    labels = labels.unionByName(labels.withColumn("doc_id", F.col("doc_id") + 1000))
+    folds = []
+    inner = toxicity._fit_round
+    monkeypatch.setattr(toxicity, "_fit_round", lambda rows, j, n: folds.append(rows) or inner(rows, j, n))
+    monkeypatch.setattr(toxicity, "MAX_GROUPS", 1)
+    chain = toxicity.fit(twins, labels)
+    assert len(chain.names) == 3 and chain.names[1:] == ["toxic_(rest)", "toxic"]
+    per_text = folds[0].groupBy("columns").agg(F.countDistinct("fold").alias("folds"), F.count("*").alias("n")).collect()
+    assert {r.folds for r in per_text} == {1} and max(r.n for r in per_text) == 2
+    assert folds[0].select("fold").distinct().count() == 3
+    both = folds[0].selectExpr("labels[0] + labels[1] = labels[2] AS ok").distinct().collect()
+    assert [r.ok for r in both] == [True]
