@@ -13,7 +13,7 @@ parquet tables ``orders lineitem part supplier customer nation region``:
 
 Scale notes: line items are read and dealt by order once; the reduction per (order, ship
 day), the join with the orders and the final reduction per order all use that one
-exchange.  The reduced orders are written to the shared scratch folder (``stored_orders``), from which the fact, the
+exchange, dealt by the number of rows so that no task's share grows with the tables.  The reduced orders are written to the shared scratch folder (``stored_orders``), from which the fact, the
 data-driven snapshot date and every variant of the mart are read.  An order's lines thus meet in one task, which streams them into at most one
 entry per day.  ``snapshot_mart`` joins each dimension once, by its surrogate key, with
 the fact as the preserved (left) side, which AQE may split if a key is skewed.
@@ -30,6 +30,9 @@ from ..schemas import MART_COLUMNS, PIPELINE_SCHEMA, PRODUCT_RECODES
 from ..session import written
 from .readers import read_table, table_versions
 
+# Orders and line items of one task: aggregates and sorts hold some 450 bytes for each line at once.
+ROWS_PER_TASK = 250_000
+
 
 def _stage(status, priority):
     top = F.substring(priority, 1, 1).isin("1", "2", "3")
@@ -39,13 +42,20 @@ def _stage(status, priority):
             .when(status == "F", F.lit("Lost")))
 
 
-def line_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_partitions(spark: SparkSession, sf_dir: str) -> int:
+    """Number of partitions in which orders meet their lines: by rows (a count over the file footers),
+    two at least."""
+    rows = sum(read_table(spark, sf_dir, t).count() for t in ("orders", "lineitem"))
+    return max(2, -(-rows // ROWS_PER_TASK))
+
+
+def line_days(spark: SparkSession, sf_dir: str, partitions: int) -> DataFrame:
     """Line items dealt by order and reduced to one row per (order, ship day) with
     the smallest part and supplier keys.  Nearly all (order, day) pairs are single
     lines, so combining them before the exchange would save nothing."""
     return (read_table(spark, sf_dir, "lineitem")
             .select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate")
-            .repartition("l_orderkey")
+            .repartition(partitions, "l_orderkey")
             .groupBy("l_orderkey", F.to_date("l_shipdate").alias("ship_day"))
             .agg(F.min("l_partkey").alias("pk"), F.min("l_suppkey").alias("sk")))
 
@@ -54,13 +64,16 @@ def orders_with_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with its smallest part key, smallest supplier key and
     the earliest ship day on or after the order day.  The aggregation after
     the join is keyed like the join, so it needs no further shuffle."""
+    # Both sides are dealt into the same number of partitions, which adaptive execution leaves
+    # alone: merged up to its advisory bytes, a task held some 20 bytes for each byte read.
+    partitions = order_partitions(spark, sf_dir)
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-        "o_orderpriority")
+        "o_orderpriority").repartition(partitions, "o_orderkey")
     # The (order, ship day) side is line-item sized, never a bounded dimension:
     # keep a sort-merge join (spills, and its partitioning serves the
     # aggregation) instead of letting a small sample demote it to a broadcast.
-    days = line_days(spark, sf_dir).hint("merge")
+    days = line_days(spark, sf_dir, partitions).hint("merge")
     order_day = F.to_date("o_orderdate")
     # Grouping by the order's own columns (constant per order) keeps this a
     # hash aggregate; hash partitioning on o_orderkey satisfies the clustering.

@@ -73,6 +73,33 @@ def test_line_items_are_read_once_for_all_marts(spark):
     assert orders.exceptAll(snapshots.orders_with_lines(spark, SF_SMALL)).isEmpty()
 
 
+def test_a_task_meets_a_bounded_number_of_orders_and_lines(spark, scratch, monkeypatch):
+    """Partitions follow the rows: neither the session's number nor adaptive merging makes a task's share grow."""
+    import datetime as dt
+    from dealscope.sources import snapshots
+    day = dt.datetime(2001, 1, 1)
+    orders = [(k, k % 7, "F", 1.0, day, "1-URGENT") for k in range(200)] + [(None, 1, "F", 1.0, day, "1-URGENT")]
+    lines = [(k % 200, k, -k, day + dt.timedelta(days=k % 5 - 1)) for k in range(800)] + [(None, 5, 5, day)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                                  "o_orderdate timestamp, o_orderpriority string").write.parquet(f"{scratch}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_shipdate timestamp").write.parquet(
+        f"{scratch}/lineitem.parquet")
+    assert snapshots.order_partitions(spark, scratch) == 2
+    monkeypatch.setattr(snapshots, "ROWS_PER_TASK", 50)
+    assert snapshots.order_partitions(spark, scratch) == 21
+    found = snapshots.orders_with_lines(spark, scratch)
+    assert found.rdd.getNumPartitions() == 21
+    tree = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in tree and "hashpartitioning(o_orderkey" in tree and "ENSURE_REQUIREMENTS" not in tree
+    got = {r["o_orderkey"]: (r["first_partkey"], r["first_suppkey"], r["first_ship_day"]) for r in found.collect()}
+    want = {}
+    for k in range(200):
+        mine = [x for x in lines if x[0] == k]
+        days = [x[3].date() for x in mine if x[3] >= day]
+        want[k] = (min(x[1] for x in mine), min(x[2] for x in mine), min(days, default=None))
+    assert got == {**want, None: (None, None, None)}
+
+
 def test_scratch_is_deleted_after_its_block(spark):
     import os
     from dealscope.session import ensure_checkpoint_dir, scratch, written
