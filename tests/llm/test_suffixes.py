@@ -86,6 +86,16 @@ def test_query_against_brute_force(spark):
     assert ordered(plain(op6_suffix_dedup(spark, SF), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) == ordered(want)
 
 
+def test_query_goes_by_bytes_not_words(spark, tmp_path):
+    rng = random.Random(12)
+    short, long = (" ".join(f"{rng.randrange(10 ** 5):05}" for _ in range(70))[:n] for n in (399, 400))
+    assert min(len(short.split()), len(long.split())) > 50
+    rows = [(1, f"a{short}b"), (2, f"c{short}d"), (3, f"e{long}f"), (4, f"g{long}h")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = plain(op6_suffix_dedup(spark, str(tmp_path)), "doc_id", "n_bytes", "n_removed", "n_spans", "has_repeats")
+    assert ordered(got) == [(1, 401, 0, 0, False), (2, 401, 0, 0, False), (3, 402, 400, 1, True), (4, 402, 400, 1, True)]
+
+
 def test_edges(spark):
     rows = plain(edge_docs(spark).select("doc_id", "text"), "doc_id", "text")
     want = [(d, *x) for (d, _), x in zip(rows, brute([(t or "").encode() for _, t in rows], 40))]
