@@ -21,7 +21,8 @@ millions of levels and linear models; different levels may share a position.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import cached_property
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (FeatureHasher, OneHotEncoder, SQLTransformer, StringIndexer,
@@ -94,13 +95,19 @@ def scaled(col: str, mean, std):
 
 
 class FittedFeatures:
-    """Fitted constants plus the ML stages that apply them."""
+    """Fitted constants plus the ML stages that apply them.  ``model`` has the first stages, ``vector`` makes those of
+    the feature vector when they are first asked for: Spark describes each of its positions in the column's metadata,
+    some 500 bytes a level on the driver, which trees have no use for."""
 
     def __init__(self, modes: dict, medians: dict, means: dict, stds: dict,
-                 categorical: Sequence[str], numeric: Sequence[str], model: PipelineModel):
+                 categorical: Sequence[str], numeric: Sequence[str], model: PipelineModel, vector: Callable[[], list] | None = None):
         self.modes, self.medians, self.means, self.stds = modes, medians, means, stds
         self.categorical, self.numeric = list(categorical), list(numeric)
-        self.model = model
+        self._first, self._vector = model, vector
+
+    @cached_property
+    def model(self) -> PipelineModel:
+        return self._first if self._vector is None else PipelineModel(stages=self._first.stages + self._vector())
 
     @property
     def stages(self):
@@ -109,9 +116,21 @@ class FittedFeatures:
     def transform(self, df: DataFrame) -> DataFrame:
         return self.model.transform(df)
 
+    def scaled(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``imp__`` and ``num__`` columns: imputed levels and scaled numbers."""
+        return self._first.stages[0].transform(df)
+
+    def indexed(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``imp__``, ``num__`` and ``idx__`` columns, without the feature vector."""
+        return self._first.transform(df)
+
+    @cached_property
+    def _levels(self) -> list[list[str]]:
+        return [list(v) for v in self._first.stages[1].labelsArray]
+
     def levels(self, k: int) -> list[str]:
         """Levels of the k-th categorical column, in the order of their indices."""
-        return list(self.model.stages[1].labelsArray[k])
+        return self._levels[k]
 
     def feature_names(self) -> list[str]:
         names = []
@@ -165,11 +184,14 @@ def fit_features(train: DataFrame, categorical: Sequence[str] = CATEGORICAL_FEAT
     indexer = StringIndexer(inputCols=[f"imp__{c}" for c in categorical],
                             outputCols=[f"idx__{c}" for c in categorical],
                             stringOrderType="alphabetAsc", handleInvalid="keep").fit(prepared)
-    encoder = OneHotEncoder(inputCols=[f"idx__{c}" for c in categorical],
-                            outputCols=[f"ohe__{c}" for c in categorical],
-                            dropLast=True).fit(indexer.transform(prepared))
-    assembler = VectorAssembler(inputCols=[f"ohe__{c}" for c in categorical]
-                                + [f"num__{c}" for c in numeric],
-                                outputCol=FEATURES_COL, handleInvalid="keep")
-    model = PipelineModel(stages=[sql, indexer, encoder, assembler])
-    return FittedFeatures(mode_values, meds, means, stds, categorical, numeric, model)
+
+    def vector() -> list:
+        encoder = OneHotEncoder(inputCols=[f"idx__{c}" for c in categorical],
+                                outputCols=[f"ohe__{c}" for c in categorical],
+                                dropLast=True).fit(indexer.transform(prepared))
+        assembler = VectorAssembler(inputCols=[f"ohe__{c}" for c in categorical]
+                                    + [f"num__{c}" for c in numeric],
+                                    outputCol=FEATURES_COL, handleInvalid="keep")
+        return [encoder, assembler]
+
+    return FittedFeatures(mode_values, meds, means, stds, categorical, numeric, PipelineModel(stages=[sql, indexer]), vector)

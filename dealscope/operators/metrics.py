@@ -8,6 +8,8 @@ come from one such table with its running sums.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,11 +17,11 @@ from ..schemas import DECISION_THRESHOLD
 from .ranking import running_sums
 
 
-def by_score(df: DataFrame, label: str, score: str) -> DataFrame:
-    """score, pos, neg: labels counted per distinct score; rows without either are left out."""
+def by_score(df: DataFrame, label: str, score: str, parts: Sequence[str] = ()) -> DataFrame:
+    """score, pos, neg: labels counted per distinct score (and part); rows without either are left out."""
     y = F.col(label).cast("int")
     return (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-            .groupBy(F.col(score).cast("double").alias("_s"))
+            .groupBy(*parts, F.col(score).cast("double").alias("_s"))
             .agg(F.sum(y).cast("double").alias("pos"),
                  F.sum(F.lit(1) - y).cast("double").alias("neg")))
 
@@ -56,6 +58,12 @@ def auc(df: DataFrame, label: str = "target", score: str = "score") -> DataFrame
     return curve(df, label, score).agg(_auc().alias("auc"))
 
 
+def auc_by(df: DataFrame, parts: Sequence[str], label: str = "target", score: str = "score") -> DataFrame:
+    """ROC-AUC of each part that has scored rows: all parts share one table of scores."""
+    found = running_sums(by_score(df, label, score, parts), "_s", ["pos", "neg"], descending=True, parts=parts)
+    return found.groupBy(*parts).agg(_auc().alias("auc"))
+
+
 def average_precision(df: DataFrame, label: str = "target", score: str = "score") -> DataFrame:
     """AP = sum over distinct thresholds (descending) of recall step x precision."""
     return curve(df, label, score).agg(_average_precision().alias("average_precision"))

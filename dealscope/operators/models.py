@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property, reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -65,10 +66,32 @@ class FittedModel:
     def feature_names(self) -> list[str]:
         return self.features.feature_names()
 
+    def applied(self, df: DataFrame) -> DataFrame:
+        """``df`` with the columns that the estimator reads and those that it adds."""
+        return self.pipeline.transform(df)
+
     def score(self, df: DataFrame, out: str = "propensity_to_close") -> DataFrame:
         """P(won) per row; map-only (no shuffle)."""
-        scored = self.pipeline.transform(df)
-        return scored.withColumn(out, vector_to_array(F.col("probability"))[1])
+        return self.applied(df).withColumn(out, vector_to_array(F.col("probability"))[1])
+
+
+class FittedTrees(FittedModel):
+    """Boosted trees: they read imputed levels and scaled numbers, so that the stages which index levels and assemble
+    the feature vector are only made for ``pipeline``."""
+
+    def __init__(self, features: FittedFeatures, model: boosting.LeafwiseTreesModel):
+        self.name, self.features, self._model = BOOSTED, features, model
+
+    @cached_property
+    def pipeline(self) -> PipelineModel:
+        return PipelineModel(stages=self.features.stages + [self._model])
+
+    @property
+    def estimator_model(self):
+        return self._model
+
+    def applied(self, df: DataFrame) -> DataFrame:
+        return self._model.transform(self.features.scaled(df))
 
 
 def fit_each(trains: list[DataFrame], name: str, label: str = "target", parallelism: int = 2, hash_bits: int | None = None) -> list[FittedModel]:
@@ -77,11 +100,11 @@ def fit_each(trains: list[DataFrame], name: str, label: str = "target", parallel
         raise ValueError("boosted trees split on levels; hashed features have none")
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         features = list(pool.map(lambda t: fit_features(t, hash_bits=hash_bits), trains))
-        prepared = [f.transform(t) for f, t in zip(features, trains)]
         if name == BOOSTED:
-            fitted = boosting.fit_many(list(zip(features, prepared)), label)
-        else:
-            fitted = list(pool.map(lambda p: build_models(p.count(), label)[name].fit(p), prepared))
+            grown = boosting.fit_many([(f, f.indexed(t)) for f, t in zip(features, trains)], label)
+            return [FittedTrees(f, m) for f, m in zip(features, grown)]
+        prepared = [f.transform(t) for f, t in zip(features, trains)]
+        fitted = list(pool.map(lambda p: build_models(p.count(), label)[name].fit(p), prepared))
     return [FittedModel(name, PipelineModel(stages=f.stages + [m]), f) for f, m in zip(features, fitted)]
 
 
@@ -103,8 +126,8 @@ def cross_validate(closed: DataFrame, names=MODEL_ORDER, k: int = CV_FOLDS,
     """AUC per (model, fold) with stratified folds; returns a small DataFrame.
 
     Each fold fits its preprocessing once and keeps one prepared training frame for all
-    models.  Models of Spark ML are fitted ``parallelism`` folds at a time (as in
-    ``CrossValidator(parallelism=...)``); the boosted trees of all folds grow in lockstep."""
+    models, of the columns that they learn from.  Models of Spark ML are fitted ``parallelism`` folds at a time (as in
+    ``CrossValidator(parallelism=...)``); the boosted trees of all folds grow side by side."""
     spark = closed.sparkSession
     folded = materialize(splits.with_folds(closed, label=label, k=k))
     sizes = {r["fold"]: r["n"] for r in folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
@@ -114,28 +137,33 @@ def cross_validate(closed: DataFrame, names=MODEL_ORDER, k: int = CV_FOLDS,
     def prepare(i: int):
         train = folded.filter(F.col("fold") != i)
         feats = fit_features(train)
-        return feats, feats.transform(train).persist(StorageLevel.MEMORY_AND_DISK), feats.transform(folded.filter(F.col("fold") == i))
+        learned = [label, FEATURES_COL, *[f"idx__{c}" for c in feats.categorical], *[f"num__{c}" for c in feats.numeric]]
+        return feats, feats.transform(train).select(*learned).persist(StorageLevel.MEMORY_AND_DISK), feats.transform(folded.filter(F.col("fold") == i))
 
-    def auc_of(job: tuple) -> tuple:
-        name, i, model, test = job
-        scored = model.transform(test).withColumn("propensity_to_close", vector_to_array(F.col("probability"))[1])
-        return name, i, _auc_value(scored, label)
+    def scored(name: str, i: int, model) -> DataFrame:
+        found = model.transform(prepared[i][2])
+        return found.select(F.lit(name).alias("model"), F.lit(i).alias("fold"), label, vector_to_array(F.col("probability"))[1].alias("_score"))
 
-    def by_estimator(name: str, i: int) -> tuple:
-        return auc_of((name, i, build_models(total - sizes.get(i, 0), label)[name].fit(prepared[i][1]), prepared[i][2]))
+    def by_estimator(job: tuple):
+        name, i = job
+        return build_models(total - sizes.get(i, 0), label)[name].fit(prepared[i][1])
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         prepared = list(pool.map(prepare, range(k)))
         try:
             own = [(n, i) for i in range(k) for n in names if n != BOOSTED]
-            rows = list(pool.map(lambda job: by_estimator(*job), own))
+            fitted = list(zip(own, pool.map(by_estimator, own)))
             if BOOSTED in names:
                 grown = boosting.fit_many([(f, p) for f, p, _ in prepared], label)
-                rows += pool.map(auc_of, [(BOOSTED, i, m, prepared[i][2]) for i, m in enumerate(grown)])
+                fitted += [((BOOSTED, i), m) for i, m in enumerate(grown)]
         finally:
             for _, kept, _ in prepared:
                 kept.unpersist(blocking=False)
-    return spark.createDataFrame(rows, "model string, fold int, auc double")
+    if not fitted:
+        return spark.createDataFrame([], "model string, fold int, auc double")
+    both = reduce(DataFrame.unionByName, [scored(n, i, m) for (n, i), m in fitted])
+    aucs = {(r["model"], r["fold"]): r["auc"] for r in M.auc_by(both, ["model", "fold"], label, "_score").collect()}
+    return spark.createDataFrame([(n, i, aucs.get((n, i))) for (n, i), _ in fitted], "model string, fold int, auc double")
 
 
 def cv_summary(cv: DataFrame) -> DataFrame:

@@ -82,11 +82,11 @@ def _running(df: DataFrame, part_cols: Sequence[str], key: Column, value_cols: S
 
 
 def running_sums(df: DataFrame, order_col: str, value_cols: Sequence[str],
-                 descending: bool = False, ranges: int | None = None) -> DataFrame:
+                 descending: bool = False, ranges: int | None = None, parts: Sequence[str] = ()) -> DataFrame:
     """Inclusive running sums ``cum_<v>`` in order of ``order_col`` (values
-    must be distinct, e.g. after a ``groupBy`` on it)."""
+    must be distinct, e.g. after a ``groupBy`` on it), within ``parts``."""
     key = F.col(order_col).cast("double")
-    return _running(df, [], -key if descending else key, value_cols, ranges)
+    return _running(df, parts, -key if descending else key, value_cols, ranges)
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], q: float, ranges: int | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -159,3 +160,58 @@ def test_wide_columns_use_quantile_bins(spark):
     feats = fit_features(df, ("c",), ("v",))
     edges = boosting.bin_edges(feats.transform(df), ["num__v"], 32)
     assert 20 <= len(edges[0]) <= 31 and edges[0] == sorted(set(edges[0]))
+
+
+# ---------------------------------------------------------------- fits in one task and distributed fits
+
+def jobs_of(spark, run) -> int:
+    group = f"boosting-{random.random()}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_small_fits_take_no_job_per_step(spark, deals):
+    jobs = [prepared_of(deals), prepared_of(deals.where("size > 3"))]
+    assert jobs_of(spark, lambda: boosting.fit_many(jobs, growth=GROWTH)) <= 6
+
+
+@pytest.mark.parametrize("wide", [1 << 30, 3, 2])
+def test_distributed_growth_finds_the_same_trees(deals, monkeypatch, wide):
+    """Also with columns dealt by level, of which some levels have more rows than a partition's share."""
+    jobs = [prepared_of(deals), prepared_of(deals.where("size > 3").repartition(3))]
+    whole = [m.getOrDefault("spec") for m in boosting.fit_many(jobs, growth=GROWTH)]
+    monkeypatch.setattr(boosting, "WHOLE_BYTES", 0)
+    monkeypatch.setattr(boosting, "WIDE_LEVELS", wide)
+    monkeypatch.setattr(boosting, "CHECKPOINT_TREES", 4)
+    assert [m.getOrDefault("spec") for m in boosting.fit_many(jobs, growth=GROWTH)] == whole
+
+
+def test_deal_keeps_every_level_in_one_partition_but_the_hot_ones():
+    counts = np.array([5] * 400 + [9000] + [7] * 300 + [0, 3])
+    deal = boosting.Deal.by(0, counts, 8)
+    assert deal.hot.tolist() == [400] and deal.parts[400] == -1 and deal.cells[400] == deal.width
+    cold = np.delete(np.arange(len(counts)), 400)
+    assert (deal.first[deal.parts[cold]] + deal.cells[cold] == cold).all() and (deal.cells[cold] < deal.width).all()
+    rows = np.repeat(np.arange(len(counts)), counts)
+    part = deal.part_of([rows.astype(np.uint16), np.arange(len(rows), dtype=np.uint32)])
+    assert np.bincount(part, minlength=8).max() < 2 * len(rows) / 8
+
+
+def test_many_levels_distributed(spark, monkeypatch):
+    """6,000 levels of 2 to 60 rows: the levels' sums stay in the tasks."""
+    rng = random.Random(3)
+    rows = [(f"d{i}", f"s{k:05d}", float(rng.randrange(50)), int(rng.random() < 0.2 + 0.6 * (k % 7 == 0)))
+            for i, k in enumerate(int(6000 * rng.random() ** 4) for _ in range(20000))]
+    df = spark.createDataFrame(rows, "opportunity_id string, rep string, v double, target int")
+    feats = fit_features(df, ("rep",), ("v",))
+    jobs = [(feats, feats.indexed(df))]
+    growth = boosting.Growth(trees=3, rate=0.3, min_rows=10)
+    whole = boosting.fit_many(jobs, growth=growth)[0].trees
+    assert any("level" in n for t in whole for n in t.values())
+    monkeypatch.setattr(boosting, "WHOLE_BYTES", 0)
+    monkeypatch.setattr(boosting, "WIDE_LEVELS", 1000)
+    assert boosting.fit_many(jobs, growth=growth)[0].trees == whole

@@ -141,3 +141,10 @@ def test_auc_equals_spark_evaluator(spark):
     ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="target",
                                        metricName="areaUnderROC", numBins=0).evaluate(df)
     assert abs(ours - ev) < 1e-12
+
+
+def test_auc_by_part_equals_each_part_alone(spark):
+    rows = [(p, i % 2, None if i % 11 == 0 else float((i * 7 + p) % 13)) for p in range(3) for i in range(40)] + [(3, 1, None), (4, 1, 0.5)]
+    df = spark.createDataFrame(rows, "part int, target int, score double")
+    found = {r["part"]: r["auc"] for r in metrics.auc_by(df, ["part"], "target", "score").collect()}
+    assert found == {p: metrics.auc(df.where(f"part = {p}"), "target", "score").first()["auc"] for p in (0, 1, 2, 4)} and found[4] is None
