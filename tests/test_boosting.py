@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from dealscope.operators import boosting, models, treeshap
 from dealscope.operators.explain import explain
 from dealscope.operators.features import fit_features
+from dealscope.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
 CATS, NUMS = ("colour", "shape"), ("size", "age")
 GROWTH = boosting.Growth(trees=6, leaves=8, rate=0.1, l2=5.0, min_rows=20)
@@ -215,3 +216,16 @@ def test_many_levels_distributed(spark, monkeypatch):
     monkeypatch.setattr(boosting, "WHOLE_BYTES", 0)
     monkeypatch.setattr(boosting, "WIDE_LEVELS", 1000)
     assert boosting.fit_many(jobs, growth=growth)[0].trees == whole
+
+
+def test_both_fits_of_the_selected_model_take_a_few_jobs(spark):
+    """``train_selected`` fits the holdout's and the temporal training rows together."""
+    rows = [(f"r{i % 7}", f"p{i % 5}", f"m{i % 3}", "x", f"s{i % 4}", "y", "z", *[float((i * k) % 17) for k in range(3, 10)], int(i * 7 % 10 < 4 + i % 3))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, ", ".join([*[f"{c} string" for c in CATEGORICAL_FEATURES], *[f"{c} double" for c in NUMERIC_FEATURES], "target int"]))
+    fitted = []
+    assert jobs_of(spark, lambda: fitted.extend(models.fit_each([df, df.where("sales_price > 2")], models.BOOSTED))) <= 6
+    assert [len(m.estimator_model.trees) for m in fitted] == [100, 100]
+    scored = fitted[0].score(df)
+    assert scored.count() == 400 and not {"features", "ohe__sales_agent"} & set(scored.columns)
+    assert fitted[0].pipeline.transform(df).columns[-2:] == ["features", "probability"]
