@@ -81,13 +81,13 @@ def explain(model, rows: DataFrame, background: DataFrame | None = None,
     Empty input gives an empty frame with the same six columns.
     """
     from . import treeshap
-    prepared = model.pipeline.transform(rows)
+    prepared = model.applied(rows)
     est = model.estimator_model
     if not hasattr(est, "coefficients"):
         return _explode_top(treeshap.tree_top(prepared, model, k, id_col=id_col), id_col)
     if background is None:
         raise ValueError("a linear model needs background rows for the feature means")
-    means = _vector_means(model.pipeline.transform(background))
+    means = _vector_means(model.applied(background))
     return linear_top(prepared, model.feature_names(), est.coefficients.toArray().tolist(), means, k, id_col)
 
 

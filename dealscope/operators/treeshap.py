@@ -177,7 +177,8 @@ def _mapped(df: DataFrame, model, features_col: str, id_col: str, out: T.StructF
     used = _Used(model, spark)
     base_value = used.base_value()
     names = used.names
-    schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), out, T.StructField("base_value", T.DoubleType())])
+    # Not the schema of ``df``: it may describe every level of the features.
+    schema = T.StructType([T.StructField(id_col, df.select(id_col).schema[id_col].dataType), out, T.StructField("base_value", T.DoubleType())])
 
     def run(batches):
         for pdf in batches:

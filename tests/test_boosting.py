@@ -1,10 +1,12 @@
 """Leaf-wise boosted trees against a plain Python version, and their life as a pipeline stage."""
 
 import math
+import pickle
 import random
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -202,20 +204,33 @@ def test_deal_keeps_every_level_in_one_partition_but_the_hot_ones():
     assert np.bincount(part, minlength=8).max() < 2 * len(rows) / 8
 
 
-def test_many_levels_distributed(spark, monkeypatch):
-    """6,000 levels of 2 to 60 rows: the levels' sums stay in the tasks."""
+def many_levels(spark):
+    """6,000 levels, most of a few rows."""
     rng = random.Random(3)
     rows = [(f"d{i}", f"s{k:05d}", float(rng.randrange(50)), int(rng.random() < 0.2 + 0.6 * (k % 7 == 0)))
             for i, k in enumerate(int(6000 * rng.random() ** 4) for _ in range(20000))]
     df = spark.createDataFrame(rows, "opportunity_id string, rep string, v double, target int")
     feats = fit_features(df, ("rep",), ("v",))
-    jobs = [(feats, feats.indexed(df))]
-    growth = boosting.Growth(trees=3, rate=0.3, min_rows=10)
+    return [(feats, feats.transform(df))]
+
+
+def test_many_levels_distributed(spark, monkeypatch):
+    """The levels' sums stay in the tasks: what reaches the driver are best splits."""
+    jobs, growth = many_levels(spark), boosting.Growth(trees=3, rate=0.3, min_rows=10)
     whole = boosting.fit_many(jobs, growth=growth)[0].trees
     assert any("level" in n for t in whole for n in t.values())
-    monkeypatch.setattr(boosting, "WHOLE_BYTES", 0)
-    monkeypatch.setattr(boosting, "WIDE_LEVELS", 1000)
+    monkeypatch.setattr(boosting, "WHOLE_BYTES", 0, raising=False)
+    monkeypatch.setattr(boosting, "WIDE_LEVELS", 1000, raising=False)
+    sent, collect = [], RDD.collect
+
+    def spied(rdd):
+        found = collect(rdd)
+        sent.append(len(pickle.dumps(found)))
+        return found
+
+    monkeypatch.setattr(RDD, "collect", spied)
     assert boosting.fit_many(jobs, growth=growth)[0].trees == whole
+    assert sent and max(sent) < 20_000
 
 
 def test_both_fits_of_the_selected_model_take_a_few_jobs(spark):
